@@ -60,6 +60,18 @@ def crc_mod(id_col: str, m: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % m
 
 
+def share(spark: SparkSession, x: object):
+    """Broadcast an object's plain state: broadcasts are pickled by reference, so its class may be unknown on executors."""
+    return spark.sparkContext.broadcast({k: v for k, v in vars(x).items()})
+
+
+def revive(cls: type, state: dict):
+    """The object of ``share`` again; it gets its own copy of the dictionary."""
+    out = cls.__new__(cls)
+    out.__dict__.update(state)
+    return out
+
+
 # ---------------------------------------------------------------- words of UTF-8 bytes
 
 #: Byte maps.  LOWER lower-cases A-Z; SPACE marks [\x20\x09-\x0D]; ALNUM turns every ASCII

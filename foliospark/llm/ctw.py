@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, crc_mod, join_bytes, materialize, space_words, sub_batches, word_hashes
+from .common import LOWER, crc_mod, join_bytes, materialize, revive, share, space_words, sub_batches, word_hashes
 
 DEPTH = 5
 END = 0xFF
@@ -258,7 +258,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
     below = weighed.where("kind = 1").select("key", "data").groupBy("key").applyInArrow(_add, "key long, data binary").collect()
     node = np.array([r["key"] for r in below], np.int64)
     a, b, log_pw = np.array([np.frombuffer(r["data"]) for r in below]).reshape(-1, 3).T if below else np.zeros((3, 0))
-    values = _values(weighed, counts, spark.sparkContext.broadcast(Roots(node, a, b, log_pw)))
+    values = _values(weighed, counts, share(spark, Roots(node, a, b, log_pw)))
 
     blocks = max(1, math.ceil(whole["bytes"] / block_bytes))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(blocks)).cast("int")).repartition(blocks, "block")
@@ -279,7 +279,7 @@ def _add(t: pa.Table) -> pa.Table:
 def _values(weighed: DataFrame, counts: DataFrame, roots) -> DataFrame:
     def log10(key: pd.Series, data: pd.Series) -> pd.Series:
         p2 = np.frombuffer(b"".join(data), np.float64).reshape(-1, 8)
-        return pd.Series(roots.value.log10(key.to_numpy(), p2))
+        return pd.Series(revive(Roots, roots.value).log10(key.to_numpy(), p2))
 
     value = F.pandas_udf(log10, "double")
     seen = weighed.where("kind = 0").select(F.lit(GRAM).alias("kind"), "key", value("key", "data").alias("value"))

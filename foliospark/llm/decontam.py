@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM
+from .common import ALNUM, revive, share
 
 WINDOW = 8
 #: Bytes of benchmark text in one automaton.  A larger benchmark is matched in blocks of this size.
@@ -65,9 +65,6 @@ class Automaton:
             self.machine.make_automaton()
         return self
 
-    def __getstate__(self):
-        return self.__dict__ | {"machine": None}
-
     def scan(self, found: list[bytes]) -> tuple[list[tuple[int, int]], set[str], bool]:
         """Hit word runs (first, last + 1) in order, items hit, and whether a full window was."""
         if not self.keys or not found:
@@ -109,7 +106,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
     clash = next(c for c in ("contamination", "__contamination") if c not in docs.columns)
     out = docs
     for n, block in enumerate(_blocks(benchmark, item_col, item_text_col, block_bytes)):
-        found = _reporter(spark.sparkContext.broadcast(Automaton(block, window)))(F.col(text_col))
+        found = _reporter(share(spark, Automaton(block, window)))(F.col(text_col))
         out = out.withColumn(clash if n == 0 else "__more", found)
         if n:
             out = out.withColumn(clash, F.pandas_udf(_join_reports, REPORT)(F.col(clash), F.col("__more"), F.col(text_col))).drop("__more")
@@ -118,7 +115,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
 
 def _reporter(machine):
     def report(text: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = machine.value.ready()
+        m = revive(Automaton, machine.value).ready()
         for batch in text:
             rows = []
             for t in batch:

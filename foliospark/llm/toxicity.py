@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, revive, share
 
 
 @dataclass(frozen=True)
@@ -106,9 +106,6 @@ class Model:
         self.curve = (-50.0, 0.0, 0.0)
         self.cache: dict[bytes, float | None] = {}
 
-    def __getstate__(self):
-        return self.__dict__ | {"cache": {}}
-
     def weight(self, word: bytes) -> float | None:
         """Of the word's longest feature; None without any."""
         w = word.decode("utf-8", "replace")
@@ -227,11 +224,11 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
         words.unpersist()
     model = Model(weights, params.cost, params.e_max)
 
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Token weights of other documents (rounded) and each document's segments."""
-        m, seen, n, positive = shared.value, Counter(), 0, 0
+        m, seen, n, positive = revive(Model, shared.value), Counter(), 0, 0
         for b in batches:
             for text, toxic in zip(b["text"], b["toxic"], strict=True):
                 if toxic == 1:
@@ -248,10 +245,10 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
     spread = Counter({r["w"]: r["c"] for r in rows if r["c"]})
     spread[-params.cost] += n - sum(spread.values())
     model.lam, model.k = solve_lambda(spread, params.cost), (positive + 1) / (n + 1000)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
+        m = revive(Model, shared.value)
         for b in batches:
             yield pd.DataFrame([(*m.evidence(m.passages(tokens(text))), int(toxic == 1)) for text, toxic in zip(b["text"], b["toxic"], strict=True)], columns=["a", "b", "y"])
 
@@ -267,10 +264,10 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
 
 def annotate(docs: DataFrame, model: Model, text_col: str = "text"):
     """The column of a struct (see REPORT): the score and every significant passage, as character offsets."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = shared.value
+        m = revive(Model, shared.value)
         for batch in batches:
             rows = []
             for text in batch:
