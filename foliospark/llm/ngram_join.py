@@ -16,7 +16,7 @@ fewer than its own l shingles occur anywhere else can't link at all and goes.  A
 share the smaller of its two l.
 
 Pairs without squares.  Equal sets are one class, known by a hash of the set.  First each class is
-paired only with the smallest class in each posting list; pairs that share enough are verified, and
+paired only with one class of each posting list, the one with the least of its own; pairs that share enough are verified, and
 verified links give components.  Then posting lists are joined again, but only for
 classes of different components; lists inside one component, such as those of large groups
 of near copies, make no pairs.  Components after the second round are exact, as a pair left
@@ -168,7 +168,7 @@ def choose(counts: np.ndarray, n: int) -> int:
 
 
 def _prefixes(shared):
-    """Pass 2: (token, sid, n, l) for the prefix of each set; a set once a task."""
+    """Pass 2: (token, sid, n, l, pos) for the prefix of each set; a set once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.frombuffer(shared.value, np.uint32)
@@ -186,7 +186,7 @@ def _prefixes(shared):
                 order = np.lexsort((h, rank, d))
                 h, rank = h[order], rank[order]
                 ends = np.cumsum(n)
-                tok, own, size, want = [], [], [], []
+                tok, own, size, want, place = [], [], [], [], []
                 for i in range(last - first):
                     s, k = int(sid[i]), int(n[i])
                     if not k or s in seen:
@@ -199,8 +199,9 @@ def _prefixes(shared):
                     own.append(np.full(length, s, np.uint64))
                     size.append(np.full(length, k, np.int64))
                     want.append(np.full(length, m, np.int32))
+                    place.append(np.arange(1, length + 1, dtype=np.int64))
                 if tok:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tok).view(np.int64)), pa.array(np.concatenate(own).view(np.int64)), pa.array(np.concatenate(size)), pa.array(np.concatenate(want))], names=["token", "sid", "n", "l"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tok).view(np.int64)), pa.array(np.concatenate(own).view(np.int64)), pa.array(np.concatenate(size)), pa.array(np.concatenate(want)), pa.array(np.concatenate(place))], names=["token", "sid", "n", "l", "pos"])
 
     return run
 
@@ -341,6 +342,20 @@ def _read(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataF
     return scanned.where("chunk is null").select("doc_id", "n", "sid", "sid2"), scanned.where("chunk is not null").select("chunk", "part", "data")
 
 
+def _matched(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) out of shared postings (n, l, pos of a; m, l2, pos2 of b).
+
+    A pair that links has ``need`` shingles in common, so of the first size - need + l of
+    either, at least l are shared: for two sets of one size that is about half of the prefix that
+    sets of any size call for.
+    """
+    need = F.ceil((F.col("n") + F.col("m")) * SHARE / (100 + SHARE))
+    least = F.least("l", "l2")
+    near = (F.col("pos") <= F.col("n") - need + least) & (F.col("pos2") <= F.col("m") - need + least)
+    close = F.least("n", "m") * 100 >= F.greatest("n", "m") * SHARE
+    return met.where(close & near).groupBy("a", "b").agg(F.count("*").alias("k"), F.first(least).alias("least")).where("k >= least").select("a", "b")
+
+
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents with their classes, verified links between classes, and classes' components."""
     spark = docs.sparkSession
@@ -352,32 +367,31 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     sketch = spark.sparkContext.broadcast(b"".join(chunks.get(c, empty) for c in range(CHUNKS)))
 
     # Postings of shingles that two classes share at least, of classes that share l of them at least.
-    postings = text.mapInArrow(_prefixes(sketch), "token long, sid long, n long, l int")
+    # Both uses of the shuffled postings keep all columns, so that they are one shuffle.
+    postings = text.mapInArrow(_prefixes(sketch), "token long, sid long, n long, l int, pos long")
     postings = postings.repartition("token").dropDuplicates(["token", "sid"])
-    bounds = postings.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi")
-    shared = materialize(postings.join(bounds.select("token", "lo"), "token"), "jaccard-postings")
-    able = shared.groupBy("sid").agg(F.count("*").alias("k"), F.first("l").alias("l"), F.first("n").alias("n")).where("k >= l")
-    able = materialize(able.select("sid", "n", "l"), "jaccard-classes")
-
-    close = "least(n, m) * 100 >= 80 * greatest(n, m)"
-    # Round 1: a star around the smallest class of each list.
-    star = shared.where("sid <> lo").select(F.col("sid").alias("a"), F.col("lo").alias("b")).groupBy("a", "b").agg(F.count("*").alias("k"))
-    star = star.join(able.select(F.col("sid").alias("a"), "n", "l"), "a").join(able.select(F.col("sid").alias("b"), F.col("n").alias("m"), F.col("l").alias("l2")), "b")
-    star = materialize(star.where(close).where("k >= least(l, l2)").select("a", "b"), "jaccard-pairs")
-    first = _verify(star, docs.select(F.col(text_col).alias("text")))
+    bounds = postings.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), *[F.max(c).alias(c) for c in ("n", "l", "pos")]).where("lo <> hi")
+    shared = materialize(postings.join(bounds.select("token"), "token"), "jaccard-postings")
+    able = shared.groupBy("sid").agg(F.count("*").alias("k"), F.first("l").alias("l")).where("k >= l")
+    shared = materialize(shared.join(able.select("sid", "k"), "sid"), "jaccard-able")
+
+    # Round 1: a star around one class of each list, the one that shares the most of its prefix.
+    centre = F.struct((F.col("k") * 1000 / (F.col("n") - F.ceil(F.col("n") * SHARE / 100) + F.col("l"))).cast("long").alias("share"), "sid", "n", "l", "pos")
+    stars = shared.groupBy("token").agg(F.max(centre).alias("c")).select("token", F.col("c.sid").alias("b"), F.col("c.n").alias("m"), F.col("c.l").alias("l2"), F.col("c.pos").alias("pos2"))
+    star = materialize(_matched(shared.withColumnRenamed("sid", "a").join(stars, "token").where("a <> b")), "jaccard-pairs")
+    first = _verify(star, text)
     comp = materialize(components(first), "jaccard-components")
 
     # Round 2: all pairs of a list that lie in different components.
-    own = shared.select("token", "sid").join(able, "sid").join(comp.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    own = shared.join(comp.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     own = materialize(own, "jaccard-open")
     mixed = own.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
     own = materialize(own.join(mixed, "token", "left_semi"), "jaccard-mixed")
-    other = own.select("token", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("l").alias("l2"), F.col("comp").alias("comp_b"))
-    pairs = own.withColumnRenamed("sid", "a").join(other, "token").where("comp < comp_b").where(close)
-    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("k"), F.first(F.least("l", "l2")).alias("l")).where("k >= l").select("a", "b")
+    other = own.select("token", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("l").alias("l2"), F.col("pos").alias("pos2"), F.col("comp").alias("comp_b"))
+    pairs = _matched(own.withColumnRenamed("sid", "a").join(other, "token").where("comp < comp_b"))
     tried = star.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(star.select(F.col("b").alias("x"), F.col("a").alias("y")))
     pairs = pairs.join(tried, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
-    second = _verify(materialize(pairs, "jaccard-pairs"), docs.select(F.col(text_col).alias("text")))
+    second = _verify(materialize(pairs, "jaccard-pairs"), text)
     found = first.unionByName(second)
     if second.take(1):
         comp = materialize(components(found), "jaccard-components")
