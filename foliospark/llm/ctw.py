@@ -40,7 +40,9 @@ from .common import LOWER, crc_mod, join_bytes, materialize, revive, share, spac
 DEPTH = 5
 END = 0xFF
 #: Text bytes of a scoring block.
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 40_000_000
+#: Text bytes that are turned into arrays at once.
+SUB_BYTES = 1_500_000
 #: Groups of the context table; each holds all contexts that end in certain pairs of bytes.
 GROUPS = 512
 GRAM, WORD, BYTES = 0, 1, 2
@@ -72,13 +74,14 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     keys = np.concatenate([p[0] for p in parts])
-    n = np.concatenate([p[1] for p in parts])
-    u, at = np.unique(keys, return_inverse=True)
-    return u, np.bincount(at, weights=n, minlength=len(u)).astype(np.int64)
+    order = np.argsort(keys, kind="stable")  # runs that are sorted already merge fast
+    keys, n = keys[order], np.concatenate([p[1] for p in parts])[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(keys) else n
 
 
 class _Counts:
-    """Distinct keys with counts, merged whenever two million wait."""
+    """Distinct keys with counts, merged whenever a million wait."""
 
     def __init__(self):
         self.parts, self.waiting = [], 0
@@ -86,7 +89,7 @@ class _Counts:
     def add(self, keys: np.ndarray, n: np.ndarray) -> None:
         self.parts.append((keys, n))
         self.waiting += len(keys)
-        if self.waiting > 2_000_000:
+        if self.waiting > 1_000_000:
             self.parts = [_merge(self.parts)]
             self.waiting = 0
 
@@ -124,17 +127,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts, learn = _batches(b.column("text")), np.array(b.column("learn").to_pylist(), bool)
         held += sum(map(len, texts))
-        for first, last in sub_batches(texts):
+        for first, last in sub_batches(texts, SUB_BYTES):
             own, use = texts[first:last], learn[first:last]
             for kind, f in ((GRAM, grams), (WORD, _words)):
-                keys, begin = f(own)
-                weight = np.repeat(use, np.diff(np.append(begin, len(keys))))
-                if kind == WORD:
-                    keys, weight = keys[weight], weight[weight]
-                u, at = np.unique(keys, return_inverse=True)
-                kinds[kind].add(u, np.bincount(at, weights=weight, minlength=len(u)).astype(np.int64))
+                # Sorting keys alone is several times faster than sorting with an index, so the two kinds of rows are counted apart.
+                if some := [t for t, x in zip(own, use, strict=True) if x]:
+                    kinds[kind].add(*np.unique(f(some)[0], return_counts=True))
+                if kind == GRAM and (rest := [t for t, x in zip(own, use, strict=True) if not x]):
+                    u = np.unique(f(rest)[0])
+                    kinds[kind].add(u, np.zeros(len(u), np.int64))
         for kind in (GRAM, WORD):
-            if sum(len(p[0]) for p in kinds[kind].parts) > 6_000_000:
+            if sum(len(p[0]) for p in kinds[kind].parts) > 4_000_000:
                 yield from out(kind, *kinds[kind].take())
     for kind in (GRAM, WORD):
         yield from out(kind, *kinds[kind].take())
@@ -262,7 +265,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
 
     blocks = max(1, math.ceil(whole["bytes"] / block_bytes))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    asked = dealt.mapInArrow(_ask, "block int, kind int, key long").distinct()
+    asked = dealt.mapInArrow(_ask, "block int, kind int, key long")
     got = asked.join(values, ["kind", "key"]).select("block", "kind", "key", "value")
     kind = dict(rows.dtypes)["doc_id"]
     total, vocabulary = whole["n"], whole["v"]
@@ -287,19 +290,19 @@ def _values(weighed: DataFrame, counts: DataFrame, roots) -> DataFrame:
 
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct grams and words of each block in a task, in batches; repeats are dropped after."""
+    """Distinct grams and words of each block in a task.  A block with very many asks in parts; a key asked twice does no harm."""
     kept: dict = {}
     for b in batches:
         block = np.array(b.column("block").to_pylist(), np.int64)
         texts = _batches(b.column("text"))
         for x in np.unique(block):
             own = [texts[i] for i in np.flatnonzero(block == x)]
-            for first, last in sub_batches(own):
+            for first, last in sub_batches(own, SUB_BYTES):
                 for kind, f in ((GRAM, grams), (WORD, _words)):
                     u = np.unique(f(own[first:last])[0])
                     kept[x, kind] = np.union1d(kept[x, kind], u) if (x, kind) in kept else u
             for kind in (GRAM, WORD):
-                if len(kept[x, kind]) > 2_000_000:
+                if len(kept[x, kind]) > 4_000_000:
                     yield from _asked(x, kind, kept.pop((x, kind)))
     for (x, kind), keys in kept.items():
         yield from _asked(x, kind, keys)
@@ -311,28 +314,45 @@ def _asked(block: int, kind: int, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), block, np.int32)), pa.array(np.full(len(k), kind, np.int32)), pa.array(k)], names=["block", "kind", "key"])
 
 
+class _Lookup:
+    """Values by key: a table of hashed slots answers most keys, binary search the others."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        self.shift = np.uint64(64 - max(10, (4 * max(1, len(keys))).bit_length()))
+        self.slots = np.zeros(1 << int(64 - self.shift), np.int32)
+        self.slots[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray, default: float) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(keys), default)
+        at = self.slots[self._slot(keys)]
+        out = self.values[at]
+        lost = np.flatnonzero(self.keys[at] != keys)
+        if len(lost):
+            k = keys[lost]
+            at = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
+            out[lost] = np.where(self.keys[at] == k, self.values[at], default)
+        return out
+
+
 def _scorer(total: int, vocabulary: int):
     def run(docs: pa.Table, got: pa.Table) -> pa.Table:
         kinds, keys, values = got.column("kind").to_numpy(), got.column("key").to_numpy(), got.column("value").to_numpy()
-        tables = []
-        for kind in (GRAM, WORD):
-            k, v = keys[kinds == kind], values[kinds == kind]
-            order = np.argsort(k)
-            tables.append((k[order], v[order]))
+        tables = [_Lookup(keys[kinds == kind], values[kinds == kind]) for kind in (GRAM, WORD)]
         texts = _batches(docs.column("text"))
         columns = {c: np.zeros(len(texts), t) for c, t in (("n_tokens", np.int64), ("n_known", np.int64), ("base_score", float), ("score", float))}
         floor = math.log10(total + vocabulary + 1)
-        for first, last in sub_batches(texts):
+        for first, last in sub_batches(texts, SUB_BYTES):
             own = texts[first:last]
             g, begin = grams(own)
-            k, v = tables[GRAM]
-            columns["score"][first:last] = np.add.reduceat(v[np.searchsorted(k, g)], begin)
+            columns["score"][first:last] = np.add.reduceat(tables[GRAM].get(g, math.nan), begin)
             w, begin = _words(own)
-            k, v = tables[WORD]
-            c = np.zeros(len(w))
-            if len(k):
-                at = np.minimum(np.searchsorted(k, w), len(k) - 1)
-                c = np.where(k[at] == w, v[at], 0.0)
+            c = tables[WORD].get(w, 0.0)
             columns["n_tokens"][first:last] = np.diff(np.append(begin, len(w)))
             columns["n_known"][first:last] = np.add.reduceat((c > 0).astype(np.int64), begin)
             columns["base_score"][first:last] = np.add.reduceat(np.log10(c + 1) - floor, begin)
