@@ -41,6 +41,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import drop_by_id, join_bytes, materialize, merge_dense, mix, space_words, sub_batches, word_hashes
@@ -168,7 +169,10 @@ def choose(counts: np.ndarray, n: int) -> int:
 
 
 def _prefixes(shared):
-    """Pass 2: (token, sid, n, l, pos) for the prefix of each set; a set once a task."""
+    """Pass 2: (token, sid, meta) for the prefix of each set; a set once a task.
+
+    meta packs the set's size (29 bits), the shingle's place in the prefix from 1 (30 bits) and l (4 bits).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.frombuffer(shared.value, np.uint32)
@@ -186,7 +190,7 @@ def _prefixes(shared):
                 order = np.lexsort((h, rank, d))
                 h, rank = h[order], rank[order]
                 ends = np.cumsum(n)
-                tok, own, size, want, place = [], [], [], [], []
+                tok, own, meta = [], [], []
                 for i in range(last - first):
                     s, k = int(sid[i]), int(n[i])
                     if not k or s in seen:
@@ -197,11 +201,9 @@ def _prefixes(shared):
                     length = k - -(-SHARE * k // 100) + m
                     tok.append(h[at : at + length])
                     own.append(np.full(length, s, np.uint64))
-                    size.append(np.full(length, k, np.int64))
-                    want.append(np.full(length, m, np.int32))
-                    place.append(np.arange(1, length + 1, dtype=np.int64))
+                    meta.append((k << 34) | (np.arange(1, length + 1, dtype=np.int64) << 4) | m)
                 if tok:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tok).view(np.int64)), pa.array(np.concatenate(own).view(np.int64)), pa.array(np.concatenate(size)), pa.array(np.concatenate(want)), pa.array(np.concatenate(place))], names=["token", "sid", "n", "l", "pos"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tok).view(np.int64)), pa.array(np.concatenate(own).view(np.int64)), pa.array(np.concatenate(meta))], names=["token", "sid", "meta"])
 
     return run
 
@@ -367,11 +369,12 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     sketch = spark.sparkContext.broadcast(b"".join(chunks.get(c, empty) for c in range(CHUNKS)))
 
     # Postings of shingles that two classes share at least, of classes that share l of them at least.
-    # Both uses of the shuffled postings keep all columns, so that they are one shuffle.
-    postings = text.mapInArrow(_prefixes(sketch), "token long, sid long, n long, l int, pos long")
-    postings = postings.repartition("token").dropDuplicates(["token", "sid"])
-    bounds = postings.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), *[F.max(c).alias(c) for c in ("n", "l", "pos")]).where("lo <> hi")
-    shared = materialize(postings.join(bounds.select("token"), "token"), "jaccard-postings")
+    # A copy of a set that two tasks sent has equal ids, so it doesn't make a shingle shared.
+    postings = text.mapInArrow(_prefixes(sketch), "token long, sid long, meta long").repartition("token")
+    whole = W.partitionBy("token")
+    postings = postings.withColumn("lo", F.min("sid").over(whole)).withColumn("hi", F.max("sid").over(whole)).where("lo <> hi")
+    shared = postings.select("token", "sid", F.shiftright("meta", 34).alias("n"), F.col("meta").bitwiseAND(15).cast("int").alias("l"), F.shiftright("meta", 4).bitwiseAND((1 << 30) - 1).alias("pos"))
+    shared = materialize(shared.dropDuplicates(["token", "sid"]), "jaccard-postings")
     able = shared.groupBy("sid").agg(F.count("*").alias("k"), F.first("l").alias("l")).where("k >= l")
     shared = materialize(shared.join(able.select("sid", "k"), "sid"), "jaccard-able")
 
