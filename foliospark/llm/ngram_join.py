@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import BooleanType
 
 from .common import drop_by_id, join_bytes, materialize, merge_dense, mix, space_words, sub_batches, word_hashes
 
@@ -273,7 +274,7 @@ def _sets(shared):
     return run
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
     out = []
     for x, y in zip(a, b, strict=True):

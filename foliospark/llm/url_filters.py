@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class Rules:
     host: tuple[tuple[str, str, str], ...] = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-    globs: tuple[str, ...] = ("*casino*", "*.cheap-pills.*", "*free-bets*", "*.ads-track.*", "*.adserver.*", "**/wp-login.php**")
+    globs: tuple[str, ...] = ("*casino*/**", "*.cheap-pills.*/**", "*free-bets*/**", "*.ads-track.*/**", "*.adserver.*/**", "**/wp-login.php**")
     default: str = field(default="allow")
 
 
