@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import chat, ctw, decontam, exact_dedup, ngram_join, packing, sharding, toxicity, url_filters, warc
 from .common import table
+from .oracle import ORACLE
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,4 +54,4 @@ def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_url_filters, op2_toxicity, op3_warc_revisits, op4_chat_tool_calls, op5_decontamination, op6_best_fit_packing, op7_exact_dedup, op8_sharding, op9_ngram_jaccard, op10_context_tree)}
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
