@@ -1,11 +1,12 @@
 """Toxicity: maximum-scoring segments over token log-odds with Dirichlet priors.
 
 Learning.  From at most ``Params.sample`` labelled documents (those with the smallest hash of
-their id) words are counted by label.  Features are whole words and their prefixes of 3 to
+their id) words are counted by label.  Features are whole words and their prefixes of 4 to
 8 characters.  A feature's weight is the log-odds ratio of its rates in toxic and other
 documents under a symmetric Dirichlet prior; it is kept if the ratio lies ``z_min`` standard
-deviations from 0.  Words seen often enough that begin with a kept prefix are kept too, with
-their own weight, so that a word's own record counts before its prefix's.
+deviations from 0 and, for a prefix, ``prefix_min`` from 0 at least.  Words seen often enough
+that begin with a kept prefix, but whose own ratio is no higher than 1, are kept with weight 0:
+a word's own record counts before its prefix's.
 
 Scoring.  A token weighs what its word's longest feature weighs, less ``cost``, so that the
 expected weight is negative.  One linear scan (Ruzzo and Tompa's) finds all maximal-scoring
@@ -44,7 +45,8 @@ from .common import crc_mod, revive, share
 class Params:
     sample: int = 40_000
     prior: float = 0.5
-    z_min: float = 3.0
+    z_min: float = 4.0
+    prefix_min: float = 3.0
     min_support: int = 5
     max_features: int = 200_000
     cost: float = 0.1
@@ -52,7 +54,7 @@ class Params:
     folds: int = 5
 
 
-PREFIXES = range(3, 9)
+PREFIXES = range(4, 9)
 REPORT = "score double, n_tokens long, passages array<struct<start:int,end:int,score:double,e_value:double>>"
 _LETTER = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _WORD = re.compile("[a-z\u0080-\U0010ffff]+")
@@ -120,11 +122,13 @@ class Model:
         return out
 
     def listed(self, words: list[bytes]) -> list[tuple[int, float]]:
-        cache, out = self.cache, []
+        """Positions whose word has a weight; a word's k-th occurrence in the document weighs a k-th, as one word over and over tells little more than once."""
+        cache, out, seen = self.cache, [], {}
         for i, w in enumerate(words):
             x = cache[w] if w in cache else self.weight(w)
-            if x is not None:
-                out.append((i, x - self.cost))
+            if x:
+                seen[w] = k = seen.get(w, 0) + 1
+                out.append((i, (x / k if x > 0 else x) - self.cost))
         return out
 
     def e_value(self, score: float, n: int) -> float:
@@ -211,15 +215,16 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
         a, b = F.col("n1") + params.prior, F.col("n0") + params.prior
         delta = F.log(a / (all1 + params.prior)) - F.log(b / (all0 + params.prior))
         scored = features.where(f"n1 + n0 >= {params.min_support}").select("f", delta.alias("w"), (delta / F.sqrt(1 / a + 1 / b)).alias("z"))
-        kept = scored.where(F.abs("z") >= params.z_min).orderBy(F.abs("z").desc(), "f").limit(params.max_features // 2)
+        strong = F.col("f").endswith("$") | (F.abs("w") >= params.prefix_min)
+        kept = scored.where((F.abs("z") >= params.z_min) & strong).orderBy(F.abs("z").desc(), "f").limit(params.max_features // 2)
         weights = {r.f: r.w for r in kept.collect()}
-        # Words under a kept prefix count by their own record.
+        # Words under a kept prefix whose own record says nothing.
         prefixes = [f for f in weights if not f.endswith("$")]
         if prefixes:
             under = docs.sparkSession.createDataFrame([(p,) for p in prefixes], "p string")
             own = scored.where("f like '%$'").withColumn("p", F.explode(F.transform(F.array(*[F.lit(n) for n in PREFIXES]), lambda n: F.substring(F.col("f"), F.lit(1), n))))
-            own = own.join(F.broadcast(under), "p", "left_semi").groupBy("f").agg(F.first("w").alias("w"), F.first("z").alias("z")).orderBy(F.abs("z").desc(), "f").limit(params.max_features // 2)
-            weights |= {r.f: r.w for r in own.collect()}
+            own = own.where("w <= 1").join(F.broadcast(under), "p", "left_semi").groupBy("f").agg(F.first("w").alias("w")).orderBy("w", "f").limit(params.max_features // 2)
+            weights = {r.f: 0.0 for r in own.collect()} | weights
     finally:
         words.unpersist()
     model = Model(weights, params.cost, params.e_max)
