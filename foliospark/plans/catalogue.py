@@ -613,9 +613,17 @@ def table_shape(spark, d):
     return cell_tables(spark, d).select("doc_id", F.size(x).alias("n_rows"), R.validate_table(x)["column_count"].alias("column_count"), F.size(F.filter(x, lambda r: F.size(r) >= 2)).alias("wide_rows"))
 
 
-@query()
+def _sql_cell(x: str) -> str:
+    return sql_drop(sql_collapse(sql_strip(x)), [chr(0), *_SEVERAL])
+
+
+@query(
+    f"""WITH {SQL_TABLES}, r AS (SELECT doc_id, unnest(cells) AS r FROM tables_ WHERE len(cells) >= 2), p AS (SELECT doc_id, {_sql_cell("r[1]")} AS activity, {_sql_cell("r[2]")} AS benefit FROM r WHERE len(r) >= 2),
+k AS (SELECT * FROM p WHERE NOT ({sql_strip("activity")} = '' OR {sql_any(sql_strip("activity"), [f"^(?:{h})" for h in PT.HEADERS])} OR {sql_any(sql_strip("activity"), PT.INSTRUCTIONS)}))
+SELECT t.doc_id, false AS is_valid, 'low' AS confidence, '' AS headers, k.activity, k.benefit FROM tables_ t LEFT JOIN k USING (doc_id)"""
+)
 def table_rows(spark, d):
-    """Rows of tables behind their header, with the table's validity; the SQL of its parts is in header_rows, clean_cell and line_tests."""
+    """Rows of tables behind their header (the synthetic tables have none), with the table's validity."""
     x = F.col("cells")
     out = cell_tables(spark, d).select("doc_id", R.validate_table(x).alias("v"), F.array_join(R.table_headers(x), ",").alias("headers"), F.explode_outer(R.parse_table(x)).alias("p"))
     return out.select("doc_id", "v.is_valid", "v.confidence", "headers", "p.activity", "p.benefit")
@@ -791,7 +799,13 @@ def exact_sample(spark, d):
 # ---------------------------------------------------------------- whole plans, without one SQL text
 
 
-@query()
+@query(
+    """WITH w AS (SELECT conv_id::VARCHAR AS doc_id, turn::INT AS page_num, regexp_extract_all(text, '[^\\s]+') AS l FROM conversations), i AS (SELECT doc_id, page_num, unnest(l) AS t, generate_subscripts(l, 1) - 1 AS i FROM w),
+n AS (SELECT doc_id, page_num, sum(length(t)) FILTER (i % 5 < 3)::DOUBLE / sum(length(t)) AS share, string_agg(t, ' ' ORDER BY i) AS linear_text FROM i GROUP BY 1, 2),
+r AS (SELECT doc_id, page_num, i // 5 AS row_, string_agg(t, ' ' ORDER BY i) FILTER (i % 5 < 3) AS lt, string_agg(t, ' ' ORDER BY i) FILTER (i % 5 >= 3) AS rt FROM i GROUP BY 1, 2, 3),
+s AS (SELECT doc_id, page_num, string_agg(lt, chr(10) ORDER BY row_) AS l, string_agg(rt, chr(10) ORDER BY row_) AS r FROM r GROUP BY 1, 2)
+SELECT doc_id, page_num, share > 0.15 AND share < 0.85 AS has_two_columns, 500 AS column_boundary, coalesce(l, '') AS "left", coalesce(r, '') AS "right", linear_text FROM n JOIN s USING (doc_id, page_num)"""
+)
 def word_box_lines(spark, d):
     """Layout of word boxes: words of a turn on a grid of five columns, with slightly uneven lines."""
     words = read(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("doc_id"), F.col("turn").cast("int").alias("page_num"), F.posexplode(t.words(F.col("text"))).alias("i", "text"))
@@ -800,14 +814,24 @@ def word_box_lines(spark, d):
     return R.layout(words)
 
 
-@query()
+@query(
+    f"""WITH {SQL_PAGES}, {SQL_TYPES} SELECT doc_id::VARCHAR AS source_file, document_type, CASE document_type WHEN 'electronic' THEN 'no_data' ELSE 'error' END AS extraction_status, 0 AS activities,
+CASE WHEN document_type <> 'electronic' THEN 'no_form_found' END AS status_detail, CASE WHEN document_type <> 'electronic' THEN 'No form found in document' END AS error FROM typed"""
+)
 def extraction_results(spark, d):
-    """The whole extraction over conversations as documents, flattened."""
+    """The whole extraction over conversations as documents, flattened; no conversation holds a form."""
     out = extract.run(conversation_pages(spark, d), o=Options(page_chars=PAGE_CHARS))
     return out.select(F.col("extraction_metadata.source_file").alias("source_file"), "document_type", "extraction_status", F.size("section_b.activities").alias("activities"), "status_detail", F.col("extraction_metadata.error").alias("error"))
 
 
-@query()
+_SQL_CATEGORY = f"CASE WHEN {sql_has('lower(a || c)', PT.WRONG_MARKERS)} THEN 'wrong_section' WHEN {sql_has('a || c', PT.ARTIFACTS)} THEN 'ocr_errors' WHEN {_sql_cut('a')} OR {_sql_cut('c')} THEN 'truncated' WHEN (a = '') <> (c = '') THEN 'partial_extraction' ELSE 'success' END"
+
+
+@query(
+    f"""WITH {SQL_LINES}, {sql_pair_scores()}, o AS (SELECT doc_id, activity AS a, benefit AS c, round_even(completeness * 0.4::DOUBLE + coherence * 0.35::DOUBLE + noise * 0.25::DOUBLE, 1) AS s FROM scores_), e AS (SELECT o.*, lang, {_SQL_CATEGORY} AS category FROM o JOIN documents USING (doc_id))
+SELECT doc_id::VARCHAR AS company_number, lang AS document_type, s AS overall_score, CASE WHEN s >= 90 THEN 'excellent' WHEN s >= 70 THEN 'good' WHEN s >= 50 THEN 'fair' ELSE 'poor' END AS quality_label, category AS error_category,
+CASE WHEN s < 50 OR category <> 'success' THEN doc_id::VARCHAR END AS flag, NOT (a = '' AND c = '') AS valid FROM e"""
+)
 def result_quality(spark, d):
     """Quality, category, flag and validation of results made of documents' lines."""
     null = F.lit(None)
