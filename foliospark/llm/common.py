@@ -147,9 +147,15 @@ def sub_batches(texts: list[bytes], limit: int = 3_000_000):
         yield first, len(texts)
 
 
-def as_bytes(text: pd.Series) -> list[bytes]:
-    """UTF-8 of each text; null is empty."""
-    return [b"" if t is None or t != t else t.encode("utf-8", "surrogatepass") for t in text]
+def text_slices(text, limit: int = 1_500_000, rows: int = 256):
+    """An Arrow column of texts as lists of bytes of about ``limit`` bytes, with each list's first row; null is empty.
+
+    A column is never a list of strings as a whole, which keeps a worker's memory small.
+    """
+    for at in range(0, len(text), rows):
+        texts = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in text.slice(at, rows).to_pylist()]
+        for first, last in sub_batches(texts, limit):
+            yield at + first, texts[first:last]
 
 
 # ---------------------------------------------------------------- sums of fixed-size arrays

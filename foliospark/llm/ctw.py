@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, crc_mod, join_bytes, materialize, revive, share, space_words, sub_batches, word_hashes
+from .common import LOWER, crc_mod, join_bytes, materialize, revive, share, space_words, text_slices, word_hashes
 
 DEPTH = 5
 END = 0xFF
@@ -87,7 +87,7 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 class _Counts:
-    """Distinct keys with counts, merged whenever a million wait."""
+    """Distinct keys with counts, merged whenever half a million wait."""
 
     def __init__(self):
         self.parts, self.waiting = [], 0
@@ -95,7 +95,7 @@ class _Counts:
     def add(self, keys: np.ndarray, n: np.ndarray) -> None:
         self.parts.append((keys, n))
         self.waiting += len(keys)
-        if self.waiting > 1_000_000:
+        if self.waiting > 500_000:
             self.parts = [_merge(self.parts)]
             self.waiting = 0
 
@@ -117,10 +117,6 @@ def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out.view(np.int64), np.concatenate([[0], np.cumsum(per_doc + 1)[:-1]])
 
 
-def _batches(text: pa.ChunkedArray | pa.Array) -> list[bytes]:
-    return [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in text.to_pylist()]
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(kind, key, n): distinct grams and words of a task, with counts in learning rows."""
     kinds, held = (_Counts(), _Counts()), 0
@@ -131,10 +127,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(n[i : i + 100_000])], names=["kind", "key", "n"])
 
     for b in batches:
-        texts, learn = _batches(b.column("text")), np.array(b.column("learn").to_pylist(), bool)
-        held += sum(map(len, texts))
-        for first, last in sub_batches(texts, SUB_BYTES):
-            own, use = texts[first:last], learn[first:last]
+        learn = np.array(b.column("learn").to_pylist(), bool)
+        for first, own in text_slices(b.column("text"), SUB_BYTES):
+            held += sum(map(len, own))
+            use = learn[first : first + len(own)]
             for kind, f in ((GRAM, grams), (WORD, _words)):
                 # Sorting keys alone is several times faster than sorting with an index, so the two kinds of rows are counted apart.
                 if some := [t for t, x in zip(own, use, strict=True) if x]:
@@ -143,7 +139,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     u = _distinct(f(rest)[0])
                     kinds[kind].add(u, np.zeros(len(u), np.int64))
         for kind in (GRAM, WORD):
-            if sum(len(p[0]) for p in kinds[kind].parts) > 2_000_000:
+            if sum(len(p[0]) for p in kinds[kind].parts) > 1_500_000:
                 yield from out(kind, *kinds[kind].take())
     for kind in (GRAM, WORD):
         yield from out(kind, *kinds[kind].take())
@@ -300,12 +296,10 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept: dict = {}
     for b in batches:
         block = np.array(b.column("block").to_pylist(), np.int64)
-        texts = _batches(b.column("text"))
         for x in np.unique(block):
-            own = [texts[i] for i in np.flatnonzero(block == x)]
-            for first, last in sub_batches(own, SUB_BYTES):
+            for _, own in text_slices(b.column("text").take(pa.array(np.flatnonzero(block == x))), SUB_BYTES):
                 for kind, f in ((GRAM, grams), (WORD, _words)):
-                    u = _distinct(f(own[first:last])[0])
+                    u = _distinct(f(own)[0])
                     kept[x, kind] = _distinct(np.concatenate([kept[x, kind], u])) if (x, kind) in kept else u
             for kind in (GRAM, WORD):
                 if len(kept[x, kind]) > 4_000_000:
@@ -350,11 +344,12 @@ def _scorer(total: int, vocabulary: int):
     def run(docs: pa.Table, got: pa.Table) -> pa.Table:
         kinds, keys, values = got.column("kind").to_numpy(), got.column("key").to_numpy(), got.column("value").to_numpy()
         tables = [_Lookup(keys[kinds == kind], values[kinds == kind]) for kind in (GRAM, WORD)]
-        texts = _batches(docs.column("text"))
-        columns = {c: np.zeros(len(texts), t) for c, t in (("n_tokens", np.int64), ("n_known", np.int64), ("base_score", float), ("score", float))}
+        n = len(docs)
+        columns = {c: np.zeros(n, t) for c, t in (("n_tokens", np.int64), ("n_known", np.int64), ("base_score", float), ("score", float), ("n_bytes", np.int64))}
         floor = math.log10(total + vocabulary + 1)
-        for first, last in sub_batches(texts, SUB_BYTES):
-            own = texts[first:last]
+        for first, own in text_slices(docs.column("text"), SUB_BYTES):
+            last = first + len(own)
+            columns["n_bytes"][first:last] = [len(t) + 1 for t in own]
             g, begin = grams(own)
             columns["score"][first:last] = np.add.reduceat(tables[GRAM].get(g, math.nan), begin)
             w, begin = _words(own)
@@ -362,13 +357,13 @@ def _scorer(total: int, vocabulary: int):
             columns["n_tokens"][first:last] = np.diff(np.append(begin, len(w)))
             columns["n_known"][first:last] = np.add.reduceat((c > 0).astype(np.int64), begin)
             columns["base_score"][first:last] = np.add.reduceat(np.log10(c + 1) - floor, begin)
-        n_bytes = np.array([len(t) + 1 for t in texts], np.int64)
+        n_bytes = columns["n_bytes"]
         return pa.table({
             "doc_id": docs.column("doc_id"),
             "held_out": docs.column("held_out"),
             "n_tokens": columns["n_tokens"],
             "n_known": columns["n_known"],
-            "train_tokens": np.full(len(texts), total, np.int64),
+            "train_tokens": np.full(n, total, np.int64),
             "base_score": columns["base_score"],
             "score": columns["score"],
             "n_bytes": n_bytes,
