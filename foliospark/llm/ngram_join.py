@@ -45,7 +45,7 @@ from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BooleanType
 
-from .common import drop_by_id, join_bytes, materialize, merge_dense, mix, space_words, sub_batches, word_hashes
+from .common import drop_by_id, join_bytes, materialize, merge_dense, mix, space_words, text_slices, word_hashes
 
 WORDS = 5
 #: The threshold as a share of 100.
@@ -108,10 +108,6 @@ def slots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h & np.uint64(WIDTH - 1)).astype(np.int64), ((h >> np.uint64(32)) & np.uint64(WIDTH - 1)).astype(np.int64) + WIDTH
 
 
-def _texts(b: pa.RecordBatch) -> list[bytes]:
-    return [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in b.column("text").to_pylist()]
-
-
 _SCAN = "doc_id {kind}, n long, sid long, sid2 long, chunk int, part int, data binary"
 
 
@@ -124,14 +120,13 @@ def _scan(kind: pa.DataType):
         names = [x.split()[0] for x in _SCAN.split(", ")]
         sketch, seen = np.zeros(2 * WIDTH, np.uint32), set()
         for b in batches:
-            texts = _texts(b)
             parts = []
-            for first, last in sub_batches(texts):
-                d, h = shingles(texts[first:last])
-                n, s1, s2 = set_ids(d, h, last - first)
+            for _, texts in text_slices(b.column("text")):
+                d, h = shingles(texts)
+                n, s1, s2 = set_ids(d, h, len(texts))
                 parts.append((n, s1, s2))
                 # Copies of a set within a task count once.
-                fresh = np.zeros(last - first, bool)
+                fresh = np.zeros(len(texts), bool)
                 for i, s in enumerate(s1.tolist()):
                     if s not in seen:
                         seen.add(s)
@@ -139,8 +134,8 @@ def _scan(kind: pa.DataType):
                 for x in slots(h[fresh[d]]):
                     sketch += np.bincount(x, minlength=2 * WIDTH).astype(np.uint32)
             n, s1, s2 = (np.concatenate([p[k] for p in parts] or [np.zeros(0, np.uint64)]) for k in range(3))
-            none = pa.nulls(len(texts), pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), none, none, pa.nulls(len(texts), pa.binary())], names=names)
+            none = pa.nulls(len(b), pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), none, none, pa.nulls(len(b), pa.binary())], names=names)
         size, part = 2 * WIDTH // CHUNKS, TaskContext.get().partitionId()
         for c in range(CHUNKS):
             none = pa.nulls(1, pa.int64())
@@ -180,10 +175,9 @@ def _prefixes(shared):
         noise = max(0, int(np.median(sketch)))
         seen: set[int] = set()
         for b in batches:
-            texts = _texts(b)
-            for first, last in sub_batches(texts):
-                d, h = shingles(texts[first:last])
-                n, sid, _ = set_ids(d, h, last - first)
+            for _, texts in text_slices(b.column("text")):
+                d, h = shingles(texts)
+                n, sid, _ = set_ids(d, h, len(texts))
                 x, y = slots(h)
                 count = np.maximum(np.minimum(sketch[x], sketch[y]).astype(np.int64) - noise, 1)
                 # Counts near the noise say nothing: those shingles go by hash.
@@ -192,7 +186,7 @@ def _prefixes(shared):
                 h, rank = h[order], rank[order]
                 ends = np.cumsum(n)
                 tok, own, meta = [], [], []
-                for i in range(last - first):
+                for i in range(len(texts)):
                     s, k = int(sid[i]), int(n[i])
                     if not k or s in seen:
                         continue
@@ -254,10 +248,9 @@ def _sets(shared):
         have = np.frombuffer(raw, np.uint8)
         seen: set[int] = set()
         for b in batches:
-            texts = _texts(b)
-            for first, last in sub_batches(texts):
-                d, h = shingles(texts[first:last])
-                n, sid, _ = set_ids(d, h, last - first)
+            for _, texts in text_slices(b.column("text")):
+                d, h = shingles(texts)
+                n, sid, _ = set_ids(d, h, len(texts))
                 keep = n > 0
                 for s in _bloom_slots(sid, bits):
                     keep &= (have[s >> 3] >> (7 - (s & 7)) & 1).astype(bool)
