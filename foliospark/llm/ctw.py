@@ -43,8 +43,8 @@ END = 0xFF
 BLOCK_BYTES = 24_000_000
 #: Text bytes that are turned into arrays at once.
 SUB_BYTES = 1_500_000
-#: Groups of the context table; each holds all contexts that end in certain pairs of bytes.
-GROUPS = 512
+#: Grams in a group of the context table, on average.  A group holds all contexts that end in certain pairs of bytes.
+GROUP_GRAMS = 100_000
 GRAM, WORD, BYTES = 0, 1, 2
 END_WORD = np.uint64(0x5DEECE66D1234567)
 FOLDS, HELD_OUT = 7, 2
@@ -243,7 +243,7 @@ class Roots:
 # ---------------------------------------------------------------- the operator
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, groups: int = GROUPS) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, group_grams: int = GROUP_GRAMS) -> DataFrame:
     """A row a document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte."""
     spark = docs.sparkSession
     held = crc_mod(id_col, FOLDS) == HELD_OUT
@@ -253,10 +253,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
     whole = counts.agg(
         F.coalesce(F.sum(F.when(F.col("kind") == WORD, F.col("n"))), F.lit(0)).alias("n"),
         F.count(F.when(F.col("kind") == WORD, 1)).alias("v"),
+        F.count(F.when(F.col("kind") == GRAM, 1)).alias("grams"),
         F.coalesce(F.sum(F.when(F.col("kind") == BYTES, F.col("n"))), F.lit(0)).alias("bytes"),
     ).first()
 
-    # All contexts that end in the same two bytes fall into one group.
+    # All contexts that end in the same two bytes fall into one group; there are at most 65 536 such pairs.
+    groups = min(65_536, max(16, whole["grams"] // group_grams))
     near = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))
     weighed = counts.where(F.col("kind") == GRAM).select(F.pmod(F.hash(near), F.lit(groups)).alias("g"), "key", "n").groupBy("g").applyInArrow(_weigh, "kind int, key long, data binary")
     weighed = materialize(weighed, "ctw-contexts")
@@ -276,7 +278,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
 
 
 def _add(t: pa.Table) -> pa.Table:
-    """Sums of one depth-1 node: at most ``GROUPS`` rows."""
+    """Sums of one depth-1 node: a row from each group at most, so at most 256."""
     data = np.array([np.frombuffer(x) for x in t.column("data").to_pylist()])
     return pa.table({"key": t.column("key").slice(0, 1), "data": pa.array([data.sum(0).tobytes()], pa.binary())})
 

@@ -445,7 +445,7 @@ def test_ctw_against_brute_force(spark):
     tokens = [[*space_words(t), None] for t in texts]
     seen = Counter(w for ts, h in zip(tokens, held, strict=True) if not h for w in ts)
     n, v = sum(seen.values()), len(seen)
-    rows = {r.doc_id: r for r in ctw.score(docs, block_bytes=40, groups=3).collect()}
+    rows = {r.doc_id: r for r in ctw.score(docs, block_bytes=40, group_grams=9).collect()}
     assert len(rows) == len(texts)
     for i, t in enumerate(texts):
         r = rows[i]
