@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import math
 import shutil
 import tempfile
@@ -10,6 +11,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,6 +149,25 @@ def sub_batches(texts: list[bytes], limit: int = 3_000_000):
         yield first, len(texts)
 
 
+def tidy() -> None:
+    """Give freed memory back: a worker that waits for its next task else keeps what its last one needed most."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def tidied(f):
+    """A function over an iterator of batches that tidies up behind itself."""
+
+    def run(batches):
+        yield from f(batches)
+        tidy()
+
+    return run
+
+
 def text_slices(text, limit: int = 1_500_000, rows: int = 256):
     """An Arrow column of texts as lists of bytes of about ``limit`` bytes, with each list's first row; null is empty.
 

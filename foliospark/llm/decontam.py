@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, revive, share
+from .common import ALNUM, revive, share, tidy
 
 WINDOW = 8
 #: Bytes of benchmark text in one automaton.  A larger benchmark is matched in blocks of this size.
@@ -124,6 +124,7 @@ def _reporter(machine):
                 at = [x.span() for x in _WORD.finditer(t.translate(_UPPER))] if runs else []
                 rows.append((len(found), sum(b - a for a, b in runs), sorted(items), [(at[a][0], at[b - 1][1]) for a, b in runs], full))
             yield pd.DataFrame(rows, columns=["n_words", "n_hit", "item_ids", "spans", "full_window"])
+        tidy()
 
     return F.pandas_udf(report, REPORT)
 

@@ -45,7 +45,7 @@ from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BooleanType
 
-from .common import drop_by_id, join_bytes, materialize, merge_dense, mix, space_words, text_slices, word_hashes
+from .common import drop_by_id, join_bytes, materialize, merge_dense, mix, space_words, text_slices, tidied, word_hashes
 
 WORDS = 5
 #: The threshold as a share of 100.
@@ -287,7 +287,7 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     n = keys.count()
     if not n:
         return pairs.select("a", "b")
-    sets = docs.select("text").mapInArrow(_sets(_bloom(keys, n, spark)), "sid long, data binary")
+    sets = docs.select("text").mapInArrow(tidied(_sets(_bloom(keys, n, spark))), "sid long, data binary")
     sets = materialize(sets, "jaccard-sets")
     # One copy of each set, as tasks may send copies: the first, without sorting whole sets.
     one = sets.groupBy("sid").agg(F.first("data").alias("data"))
@@ -334,7 +334,7 @@ def _read(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataF
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType
     schema = _SCAN.format(kind=kind.simpleString())
-    scanned = materialize(rows.mapInArrow(_scan(to_arrow_type(kind)), schema), "jaccard-scan")
+    scanned = materialize(rows.mapInArrow(tidied(_scan(to_arrow_type(kind))), schema), "jaccard-scan")
     return scanned.where("chunk is null").select("doc_id", "n", "sid", "sid2"), scanned.where("chunk is not null").select("chunk", "part", "data")
 
 
@@ -364,7 +364,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
 
     # Postings of shingles that two classes share at least, of classes that share l of them at least.
     # A copy of a set that two tasks sent has equal ids, so it doesn't make a shingle shared.
-    postings = text.mapInArrow(_prefixes(sketch), "token long, sid long, meta long").repartition("token")
+    postings = text.mapInArrow(tidied(_prefixes(sketch)), "token long, sid long, meta long").repartition("token")
     whole = W.partitionBy("token")
     postings = postings.withColumn("lo", F.min("sid").over(whole)).withColumn("hi", F.max("sid").over(whole)).where("lo <> hi")
     shared = postings.select("token", "sid", F.shiftright("meta", 34).alias("n"), F.col("meta").bitwiseAND(15).cast("int").alias("l"), F.shiftright("meta", 4).bitwiseAND((1 << 30) - 1).alias("pos"))

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, revive, share
+from .common import crc_mod, revive, share, tidied, tidy
 
 
 @dataclass(frozen=True)
@@ -203,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
                 seen = Counter(), Counter()
         yield flush()
 
-    words = learn.select("text", "toxic").mapInPandas(count, "word string, n1 long, n0 long").groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    words = learn.select("text", "toxic").mapInPandas(tidied(count), "word string, n1 long, n0 long").groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     words = words.where("word <> ''").cache()
     try:
         whole = words.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).first()
@@ -245,7 +245,7 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
                 positive += len(segments(found, m.cost))
         yield pd.DataFrame([(float(w), c, 0, 0) for w, c in seen.items()] + [(0.0, 0, n, positive)], columns=["w", "c", "n", "positive"])
 
-    rows = check.select("text", "toxic").mapInPandas(measure, "w double, c long, n long, positive long").groupBy("w").agg(F.sum("c").alias("c"), F.sum("n").alias("n"), F.sum("positive").alias("positive")).collect()
+    rows = check.select("text", "toxic").mapInPandas(tidied(measure), "w double, c long, n long, positive long").groupBy("w").agg(F.sum("c").alias("c"), F.sum("n").alias("n"), F.sum("positive").alias("positive")).collect()
     n, positive = sum(r["n"] for r in rows), sum(r["positive"] for r in rows)
     spread = Counter({r["w"]: r["c"] for r in rows if r["c"]})
     spread[-params.cost] += n - sum(spread.values())
@@ -258,7 +258,7 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
             yield pd.DataFrame([(*m.evidence(m.passages(tokens(text))), int(toxic == 1)) for text, toxic in zip(b["text"], b["toxic"], strict=True)], columns=["a", "b", "y"])
 
     # Evidence, rounded, with counts: at most ``sample`` rows come to the driver.
-    rows = check.select("text", "toxic").mapInPandas(evidence, "a double, b double, y long").groupBy(F.round("a", 2).alias("a"), F.round("b", 2).alias("b"), "y").count().collect()
+    rows = check.select("text", "toxic").mapInPandas(tidied(evidence), "a double, b double, y long").groupBy(F.round("a", 2).alias("a"), F.round("b", 2).alias("b"), "y").count().collect()
     if {r["y"] for r in rows} == {0, 1}:
         x = np.array([(r["a"], r["b"]) for r in rows for _ in range(r["count"])])
         model.curve = fit_curve(x, np.array([r["y"] for r in rows for _ in range(r["count"])], float))
@@ -281,6 +281,8 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text"):
                 at = [x.span() for x in _WORD.finditer(lower(text))] if found else []
                 rows.append((m.score(found), len(words), [(at[a][0], at[b][1], s, e) for a, b, s, e in found]))
             yield pd.DataFrame(rows, columns=["score", "n_tokens", "passages"])
+        m.cache.clear()
+        tidy()
 
     return F.pandas_udf(run, REPORT)(F.col(text_col))
 
