@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, crc_mod, join_bytes, materialize, revive, share, space_words, text_slices, word_hashes
+from .common import LOWER, crc_mod, join_bytes, materialize, revive, share, space_words, text_slices, tidied, tidy, word_hashes
 
 DEPTH = 5
 END = 0xFF
@@ -248,7 +248,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
     spark = docs.sparkSession
     held = crc_mod(id_col, FOLDS) == HELD_OUT
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held.alias("held_out"))
-    counts = rows.select("text", (~F.col("held_out")).alias("learn")).mapInArrow(_count, "kind int, key long, n long")
+    counts = rows.select("text", (~F.col("held_out")).alias("learn")).mapInArrow(tidied(_count), "kind int, key long, n long")
     counts = materialize(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "ctw-counts")
     whole = counts.agg(
         F.coalesce(F.sum(F.when(F.col("kind") == WORD, F.col("n"))), F.lit(0)).alias("n"),
@@ -269,7 +269,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
 
     blocks = max(1, math.ceil(whole["bytes"] / block_bytes))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    asked = dealt.mapInArrow(_ask, "block int, kind int, key long")
+    asked = dealt.mapInArrow(tidied(_ask), "block int, kind int, key long")
     got = asked.join(values, ["kind", "key"]).select("block", "kind", "key", "value")
     kind = dict(rows.dtypes)["doc_id"]
     total, vocabulary = whole["n"], whole["v"]
@@ -360,6 +360,8 @@ def _scorer(total: int, vocabulary: int):
             columns["n_known"][first:last] = np.add.reduceat((c > 0).astype(np.int64), begin)
             columns["base_score"][first:last] = np.add.reduceat(np.log10(c + 1) - floor, begin)
         n_bytes = columns["n_bytes"]
+        del tables, keys, values, kinds, g, w, c
+        tidy()
         return pa.table({
             "doc_id": docs.column("doc_id"),
             "held_out": docs.column("held_out"),
