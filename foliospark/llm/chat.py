@@ -4,8 +4,7 @@ DataFrame operations only.  Calls and results meet in an equi-join on (conversat
 A call depends on the calls of its conversation that its arguments name in an ``after`` field
 (an id or a list of ids).  Its level is 0 without dependencies, else one more than the
 largest level among them; ``position`` numbers the calls of a conversation by (level, turn,
-call id).  Levels are found in rounds, each of which settles the calls whose dependencies
-are all settled; what no round settles is on or behind a cycle and gets level null.
+call id).  What is on or behind a cycle gets level null.
 
 Defined cases: of calls with one (conversation, id) the first by (turn, name, arguments) counts, of
 results the first by (turn, content); status is linked, no_result, or early_result when the
@@ -111,7 +110,12 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas | None = None) -
 
 
 def _levels(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(conv_id, call_id, level) of the calls off cycles, and their dependencies on unknown calls."""
+    """(conv_id, call_id, level) of the calls off cycles, and their dependencies on unknown calls.
+
+    Calls with one dependency point to it, and pointers are doubled until they reach a call with
+    none or several: a chain of n calls takes log n rounds.  Only calls with several
+    dependencies are then settled level by level.
+    """
     key = ["conv_id", "call_id"]
     own = calls.where("conv_id is not null and call_id is not null").select(*key, "after")
     edges = own.select(*key, F.explode(F.array_distinct("after")).alias("needs"))
@@ -119,24 +123,50 @@ def _levels(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = materialize(edges.join(known, ["conv_id", "needs"], "left"), "chat-edges")
     unknown = edges.where("known is null").groupBy(*key).agg(F.array_sort(F.collect_set(F.concat("needs", F.lit(" is an unknown call")))).alias("unknown"))
     edges = edges.where("known").drop("known")
-    waiting = edges.select(*key).distinct()
-    done = materialize(own.join(waiting, key, "left_anti").select(*key, F.lit(0).alias("level")), "chat-levels")
-    parts, newest, open_edges, level = [done], done, edges, 0
-    while True:
-        # An edge is met when the call it needs settled in the last round; a call settles with its last edge.
-        met = newest.select("conv_id", F.col("call_id").alias("needs"), F.lit(True).alias("met"))
-        open_edges = materialize(open_edges.join(met, ["conv_id", "needs"], "left"), "chat-open")
-        level += 1
-        newest = open_edges.groupBy(*key).agg(F.min(F.coalesce("met", F.lit(False))).alias("all_met")).where("all_met").select(*key, F.lit(level).alias("level"))
+    degree = materialize(edges.groupBy(*key).agg(F.count("*").alias("n"), F.min("needs").alias("to")), "chat-degrees")
+    free = own.join(degree, key, "left_anti").select(*key, F.lit(0).cast("long").alias("level"))
+    to_end = _jump(degree.where("n = 1").select(*key, "to"))
+
+    # Dependencies of calls with several: the end of the chain and how far it is; none for a chain into a cycle.
+    several = edges.join(degree.where("n > 1").select(*key), key, "left_semi")
+    at = to_end.select("conv_id", F.col("call_id").alias("needs"), F.when(F.col("ends"), F.col("to")).alias("to"), "far")
+    single = F.col("far").isNotNull()
+    waiting = several.join(at, ["conv_id", "needs"], "left").select(*key, F.when(single, F.col("to")).otherwise(F.col("needs")).alias("end"), F.when(single, F.col("far")).otherwise(0).alias("far"), F.lit(None).cast("long").alias("upto"))
+    waiting = materialize(waiting, "chat-waiting")
+    settled = materialize(free, "chat-levels")
+    parts, newest = [settled], settled
+    while waiting.take(1):
+        met = newest.select("conv_id", F.col("call_id").alias("end"), "level")
+        waiting = waiting.join(met, ["conv_id", "end"], "left").select(*key, "end", "far", F.coalesce("upto", F.col("level") + F.col("far")).alias("upto"))
+        waiting = materialize(waiting, "chat-waiting")
+        newest = waiting.groupBy(*key).agg(F.max("upto").alias("level"), F.count_if(F.col("upto").isNull()).alias("open")).where("open = 0").select(*key, (F.col("level") + 1).alias("level"))
         newest = materialize(newest, "chat-levels")
         if not newest.take(1):
             break
         parts.append(newest)
-        open_edges = open_edges.where("met is null").drop("met")
-    levels = parts[0]
+        waiting = waiting.join(newest.select(*key), key, "left_anti")
+    ends = parts[0]
     for p in parts[1:]:
-        levels = levels.unionByName(p)
-    return levels, unknown
+        ends = ends.unionByName(p)
+    on_chains = to_end.where("ends").join(ends.select("conv_id", F.col("call_id").alias("to"), "level"), ["conv_id", "to"])
+    levels = ends.unionByName(on_chains.select(*key, (F.col("level") + F.col("far")).alias("level")))
+    return levels.withColumn("level", F.col("level").cast("int")), unknown
+
+
+def _jump(pointers: DataFrame) -> DataFrame:
+    """pointers(conv_id, call_id, to) -> the same with ``to`` moved to the first call that has no pointer, how far that is, and whether it was reached."""
+    has = pointers.select("conv_id", F.col("call_id").alias("to"), F.lit(True).alias("on"))
+    now = materialize(pointers.join(has, ["conv_id", "to"], "left").select("conv_id", "call_id", "to", F.lit(1).cast("long").alias("far"), F.col("on").isNull().alias("ends")), "chat-pointers")
+    open_rows = now.where("not ends").count()
+    while open_rows:
+        step = now.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("to2"), F.col("far").alias("far2"), F.col("ends").alias("ends2"))
+        moved = now.where("not ends").join(step, ["conv_id", "to"]).select("conv_id", "call_id", F.col("to2").alias("to"), (F.col("far") + F.col("far2")).alias("far"), F.col("ends2").alias("ends"))
+        now = materialize(now.where("ends").unionByName(moved), "chat-pointers")
+        left = now.where("not ends").count()
+        if left == open_rows:  # what no round brings to an end runs into a cycle
+            break
+        open_rows = left
+    return now
 
 
 def orphan_results(calls: DataFrame, results: DataFrame) -> DataFrame:

@@ -198,6 +198,29 @@ def test_tool_calls(spark):
     assert chat.link(c.where("false"), r).count() == 0
 
 
+def test_levels_of_random_dependencies(spark):
+    r = random.Random(31)
+    rows, want = [], {}
+    for conv in range(14):
+        n = r.choice([1, 2, 9, 70])
+        deps = {}
+        for i in range(n):
+            pool = list(range(n)) if conv % 3 == 2 else list(range(i))
+            deps[i] = r.sample(pool, min(len(pool), r.choice([0, 1, 1, 1, 1, 2, 3]))) if conv % 3 else ([i - 1] if i else [])
+        level = {}
+        while True:
+            new = {i: 1 + max((level[d] for d in ds), default=-1) for i, ds in deps.items() if i not in level and all(d in level for d in ds)}
+            if not new:
+                break
+            level |= new
+        for i, ds in deps.items():
+            rows.append((conv, i, f"k{i}", "x", '{"after": [' + ", ".join(f'"k{d}"' for d in ds) + "]}"))
+            want[conv, f"k{i}"] = level.get(i)
+    calls = spark.createDataFrame(rows, "conv_id long, turn long, call_id string, name string, arguments string")
+    results = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string")
+    assert {(x.conv_id, x.call_id): x.level for x in chat.link(calls, results).collect()} == want
+
+
 # ---------------------------------------------------------------- 5: decontamination
 
 
