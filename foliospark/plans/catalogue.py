@@ -847,3 +847,76 @@ def stateless_rollup(spark, d):
     """The rollup that the streaming plan uses: from each document's own array."""
     docs = conversation_pages(spark, d).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_num", "text"))).alias("pages"))
     return incremental.classify_rows(docs, Options(page_chars=PAGE_CHARS)).drop("pages")
+
+
+# ---------------------------------------------------------------- single operators
+
+
+@query(f"WITH {SQL_PAGES} SELECT doc_id, min(page_num) FILTER ({sql_any('text', FORM_MARKS)})::INT AS page FROM pages_ GROUP BY doc_id")
+def first_marked_page(spark, d):
+    return L.first_page(conversation_pages(spark, d), FORM_MARKS)
+
+
+@query("SELECT lang, count(*) AS n, greatest(floor(count(*) * 0.07::DOUBLE), 1)::BIGINT AS size FROM documents GROUP BY lang")
+def sample_sizes(spark, d):
+    n = read(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n"))
+    return n.select("lang", "n", SA.share_size(F.col("n"), 7).alias("size"))
+
+
+_LEAD = r"^\s*[.:]?\s*"
+_BRACKETS = (r"\([^)]*\)", r"\d+")
+
+
+@query(sql_slices(lambda r: sql_strip(sql_remove(f"regexp_replace({sql_collapse(sql_strip(_sql_first_listed(r, STOPS)))}, {q(_LEAD)}, '')", _BRACKETS))))
+def slice_without_noise(spark, d):
+    return read(spark, d, "documents").select("doc_id", X.surplus_use(F.col("text"), STARTS, STOPS, _BRACKETS).alias("part"))
+
+
+_NEAREST = "(?:" + "|".join(STOPS) + ")"
+_TAILS = (r"\s*\d+\s*$",)
+_PREFIXES = (r"^an\s+", r"^of\s+")
+
+
+@query(sql_slices(lambda r: sql_strip(sql_remove(sql_strip(sql_remove(f"regexp_replace({sql_collapse(sql_strip(sql_before(r, _NEAREST)))}, {q(_LEAD)}, '')", _TAILS)), _PREFIXES))))
+def slice_with_prefixes(spark, d):
+    return read(spark, d, "documents").select("doc_id", X.beneficiaries(F.col("text"), STARTS, STOPS, _TAILS, _PREFIXES).alias("part"))
+
+
+@query(f"WITH {SQL_LINES} SELECT doc_id, coalesce(CASE WHEN lang <> 'en' THEN nullif(source, '') END, CASE WHEN activity <> '' THEN activity WHEN benefit <> '' THEN benefit END, '') AS value FROM lines_")
+def field_precedence(spark, d):
+    acts = F.array(F.struct(F.col("activity").alias("x")), F.struct(F.col("benefit").alias("x")))
+    top = F.when(F.col("lang") != "en", F.col("source"))
+    return lines(spark, d).select("doc_id", IO.field(top, acts, "x").alias("value"))
+
+
+_REFERS = (r"\swith\s", r"\svon\s")
+_OTHERS = (r"released\s+under", r"licensed\s+under")
+
+
+@query(
+    f"""WITH {SQL_LINES}, b AS (SELECT doc_id, activity || ' ' || benefit AS b, text FROM lines_), w AS (SELECT *, text || ' ' || b AS whole FROM b)
+SELECT doc_id, {sql_any("b", _REFERS)} AND length({sql_strip("b")}) < 300 AS referential, {sql_any("b", _OTHERS)} AS other_section,
+CASE WHEN {sql_any("whole", _OTHERS)} THEN 'other form''s content' WHEN {sql_count("whole", (r"tion", r"und"))} < 1 AND length(whole) > 100 THEN 'no content of this section' END AS reason FROM w"""
+)
+def content_checks(spark, d):
+    acts = F.array(R.pair(F.col("activity"), F.col("benefit")))
+    return lines(spark, d).select("doc_id", R.is_referential(acts, _REFERS).alias("referential"), R.is_other_section(acts, _OTHERS).alias("other_section"), R.check_content(acts, F.col("text"), _OTHERS, (r"tion", r"und"))["reason"].alias("reason"))
+
+
+_SAYS = (r"\swhich\s", r"\sfor\s")
+
+
+@query(
+    f"""WITH x AS (SELECT doc_id, {sql_strip(sql_collapse("text"))} AS x FROM documents), f AS (SELECT doc_id, CASE {" ".join(f"WHEN {sql_match('x', p)} THEN {sql_strip(sql_before('x', p))}" for p in _SAYS)} ELSE x END AS a, CASE {" ".join(f"WHEN {sql_match('x', p)} THEN {sql_strip(sql_after('x', p))}" for p in _SAYS)} ELSE '' END AS b FROM x),
+s AS (SELECT *, string_split(a, '.') AS l FROM f), h AS (SELECT *, {sql_strip("array_to_string(l[1:len(l) // 2], '. ')")} AS head, {sql_strip("array_to_string(l[len(l) // 2 + 1:], '. ')")} AS tail FROM s)
+SELECT doc_id, CASE WHEN b = '' AND contains(a, '.') THEN CASE WHEN head <> '' AND NOT ends_with(head, '.') THEN head || '.' ELSE head END ELSE a END AS activity, CASE WHEN b = '' AND contains(a, '.') THEN tail ELSE b END AS benefit FROM h"""
+)
+def described_texts(spark, d):
+    return read(spark, d, "documents").select("doc_id", R.describe(F.col("text"), _SAYS).alias("p")).select("doc_id", "p.*")
+
+
+@query(f"WITH {SQL_TABLES} SELECT doc_id, array_to_string(list_transform(list_filter(range(1, len(cells[1]) + 1), lambda i: {sql_any('cells[1][i]', HEAD_A)} OR {sql_any('cells[1][i]', HEAD_B)}), lambda i: (i - 1) || ':' || CASE WHEN {sql_any('cells[1][i]', HEAD_A)} THEN 'activity' ELSE 'benefit' END), ',') AS mapping FROM tables_")
+def column_mapping(spark, d):
+    m = R.column_mapping(F.get("cells", F.lit(0)), HEAD_A, HEAD_B)
+    text = F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"].cast("string"), F.lit(":"), e["value"])), ",")
+    return cell_tables(spark, d).select("doc_id", text.alias("mapping"))
