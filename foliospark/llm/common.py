@@ -42,7 +42,19 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing will read any more."""
+    for t in tables:
+        path = t.__dict__.get("_scratch_path")
+        if path:
+            context = t.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def drop_by_id(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 1_000_000) -> DataFrame:

@@ -45,7 +45,7 @@ from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BooleanType
 
-from .common import drop_by_id, join_bytes, materialize, merge_dense, mix, space_words, text_slices, tidied, word_hashes
+from .common import discard, drop_by_id, join_bytes, materialize, merge_dense, mix, space_words, text_slices, tidied, word_hashes
 
 WORDS = 5
 #: The threshold as a share of 100.
@@ -286,7 +286,7 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     keys = materialize(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), "jaccard-keys")
     n = keys.count()
     if not n:
-        return pairs.select("a", "b")
+        return spark.createDataFrame([], "a long, b long")
     sets = docs.select("text").mapInArrow(tidied(_sets(_bloom(keys, n, spark))), "sid long, data binary")
     sets = materialize(sets, "jaccard-sets")
     # One copy of each set, as tasks may send copies: the first, without sorting whole sets.
@@ -294,7 +294,9 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     left = one.select(F.col("sid").alias("a"), F.col("data").alias("set_a"))
     right = one.select(F.col("sid").alias("b"), F.col("data").alias("set_b"))
     met = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return materialize(met.where(_linked("set_a", "set_b")).select("a", "b"), "jaccard-links")
+    out = materialize(met.where(_linked("set_a", "set_b")).select("a", "b"), "jaccard-links")
+    discard(sets, keys)
+    return out
 
 
 # ---------------------------------------------------------------- components
@@ -310,6 +312,7 @@ def components(links: DataFrame) -> DataFrame:
     previous = None
     while True:
         # Large star: neighbours above a node go to the smallest of its neighbourhood.
+        before = edges
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -319,6 +322,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "u")
         edges = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v")))
         edges = materialize(edges.distinct(), "stars")
+        discard(large, before)
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if now == previous:
             break
@@ -370,7 +374,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     shared = postings.select("token", "sid", F.shiftright("meta", 34).alias("n"), F.col("meta").bitwiseAND(15).cast("int").alias("l"), F.shiftright("meta", 4).bitwiseAND((1 << 30) - 1).alias("pos"))
     shared = materialize(shared.dropDuplicates(["token", "sid"]), "jaccard-postings")
     able = shared.groupBy("sid").agg(F.count("*").alias("k"), F.first("l").alias("l")).where("k >= l")
-    shared = materialize(shared.join(able.select("sid", "k"), "sid"), "jaccard-able")
+    postings, shared = shared, materialize(shared.join(able.select("sid", "k"), "sid"), "jaccard-able")
+    discard(postings)
 
     # Round 1: a star around one class of each list, the one that shares the most of its prefix.
     centre = F.struct((F.col("k") * 1000 / (F.col("n") - F.ceil(F.col("n") * SHARE / 100) + F.col("l"))).cast("long").alias("share"), "sid", "n", "l", "pos")
@@ -383,12 +388,15 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     own = shared.join(comp.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     own = materialize(own, "jaccard-open")
     mixed = own.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
-    own = materialize(own.join(mixed, "token", "left_semi"), "jaccard-mixed")
+    opened, own = own, materialize(own.join(mixed, "token", "left_semi"), "jaccard-mixed")
+    discard(opened, shared)
     other = own.select("token", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("l").alias("l2"), F.col("pos").alias("pos2"), F.col("comp").alias("comp_b"))
     pairs = _matched(own.withColumnRenamed("sid", "a").join(other, "token").where("comp < comp_b"))
     tried = star.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(star.select(F.col("b").alias("x"), F.col("a").alias("y")))
     pairs = pairs.join(tried, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
-    second = _verify(materialize(pairs, "jaccard-pairs"), text)
+    pairs = materialize(pairs, "jaccard-pairs")
+    discard(own, star)
+    second = _verify(pairs, text)
     found = first.unionByName(second)
     if second.take(1):
         comp = materialize(components(found), "jaccard-components")

@@ -399,6 +399,12 @@ def test_ngram_join_against_brute_force(spark):
     assert sorted(x.doc_id for x in left.collect()) == sorted(i for i, _, c in want if i == c)
 
 
+def test_ngram_join_without_any_link(spark):
+    docs = docs_of(spark, ["a b c d e f", "g h i j k l", "m n o", "", None])
+    rows = {r.doc_id: tuple(r)[1:] for r in ngram_join.groups(docs).collect()}
+    assert rows == {0: (2, 0), 1: (2, 1), 2: (1, 2), 3: (0, 3), 4: (0, 4)}
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 90), (90, 95), (7, 7)]
     got = {r.node: r.comp for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
