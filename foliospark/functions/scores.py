@@ -28,20 +28,21 @@ def _pair(activity: Column, benefit: Column) -> Column:
 
 def coherence(activity: Column, benefit: Column, instructions: Sequence[str] = P.INSTRUCTIONS) -> Column:
     """100, less for instruction patterns, few words and repeated words."""
+
+    def by_words(w: Column) -> Column:
+        n = F.size(w)
+        few = F.when(n < 5, 30).when(n < 10, 15).otherwise(0)
+        return few + F.when((n > 5) & (F.size(F.array_distinct(w)) / n < 0.3), 20).otherwise(0)
+
     both = _pair(activity, benefit)
-    w = t.words(both)
-    n = F.size(w)
-    few = F.when(n < 5, 30).when(n < 10, 15).otherwise(0)
-    repeated = F.when((n > 5) & (F.size(F.array_distinct(w)) / n < 0.3), 20).otherwise(0)
-    return F.greatest(F.lit(0.0), F.lit(100.0) - 20 * t.count_matching(both, instructions) - few - repeated)
+    return F.greatest(F.lit(0.0), F.lit(100.0) - 20 * t.count_matching(both, instructions) - t.let(t.words(both), by_words))
 
 
 def noise(activity: Column, benefit: Column, artifacts: Sequence[str] = P.ARTIFACTS, weights: Mapping[str, int] = P.ARTIFACT_WEIGHT) -> Column:
     """100, less for artifacts, special characters and characters beyond ASCII."""
     both = _pair(activity, benefit)
     found = sum((F.when(both.contains(a), 15 * weights.get(a, 1)).otherwise(0) for a in artifacts), F.lit(0))
-    special = C.special_ratio(both)
-    odd = F.when(special > 0.2, 30).when(special > 0.1, 15).otherwise(0)
+    odd = t.let(C.special_ratio(both), lambda special: F.when(special > 0.2, 30).when(special > 0.1, 15).otherwise(0))
     foreign = F.when(F.length(F.regexp_replace(both, r"[\x00-\x7F]", "")) > F.length(both) * 0.1, 20).otherwise(0)
     return F.greatest(F.lit(0.0), F.lit(100.0) - found - odd - foreign)
 
@@ -50,6 +51,11 @@ def overall(complete: Column, coherent: Column, quiet: Column) -> Column:
     return complete * 0.4 + coherent * 0.35 + quiet * 0.25
 
 
+def _known_words(low: Column, common: Sequence[str]) -> Column:
+    """How many of the words occur as whole words: one split instead of a search for each."""
+    return F.size(F.array_intersect(F.split(low, r"(?U)\W+"), F.array(*[F.lit(w) for w in common])))
+
+
 def ocr_quality(c: Column, common: Sequence[str] = P.COMMON_WORDS) -> Column:
     """very_low, low or medium, by vowels, common words, special characters and consonant runs."""
     c = t.text_of(c)
@@ -57,28 +63,32 @@ def ocr_quality(c: Column, common: Sequence[str] = P.COMMON_WORDS) -> Column:
     vowels = F.length(F.regexp_replace(low, "[^aeiou]", ""))
     letters = F.length(F.regexp_replace(low, "[^a-z]", ""))
     share = vowels / letters
-    known = t.count_matching(low, [rf"\b{w}\b" for w in common])
     special = F.regexp_count(c, F.lit(P.ODD_CHARACTERS)) / F.length(c)
     runs = F.regexp_count(low, F.lit("[bcdfghjklmnpqrstvwxyz]{6,}"))
-    return (
-        F.when((F.length(t.strip(c)) < 50) | (letters == 0), "very_low")
-        .when((share < 0.15) | (share > 0.65) | (known < 3) | (special > 0.1) | (runs > 3), "very_low")
-        .when((share < 0.25) | (share > 0.55) | (known < 6) | (special > 0.05) | (runs > 1), "low")
-        .when(known >= 10, "medium")
-        .otherwise("low")
-    )
+
+    def band(m: Column) -> Column:
+        share, known, special, runs = m["share"], m["known"], m["special"], m["runs"]
+        return (
+            F.when((share < 0.15) | (share > 0.65) | (known < 3) | (special > 0.1) | (runs > 3), "very_low")
+            .when((share < 0.25) | (share > 0.55) | (known < 6) | (special > 0.05) | (runs > 1), "low")
+            .when(known >= 10, "medium")
+            .otherwise("low")
+        )
+
+    measured = F.struct(share.alias("share"), _known_words(low, common).alias("known"), special.alias("special"), runs.alias("runs"))
+    return F.when((F.length(t.strip(c)) < 50) | (letters == 0), "very_low").otherwise(t.let(measured, band))
 
 
 def likely_handwritten(c: Column, common: Sequence[str] = P.FORM_WORDS, odd: Sequence[str] = P.ODD_RUNS) -> Column:
     """Many fragments with few common words, or few for the length, or many odd runs."""
     c = t.text_of(c)
     low = F.lower(c)
-    w = t.words(c)
-    short = F.size(F.filter(w, lambda x: F.length(x) <= 2)) / F.size(w)
-    known = t.count_matching(low, [rf"\b{x}\b" for x in common])
     expected = F.length(c) / 100
     runs = sum((F.regexp_count(low, F.lit(p)) for p in odd), F.lit(0))
-    return F.when((F.length(t.strip(c)) < 50) | (F.size(w) == 0), False).otherwise(((short > 0.4) & (known < 5)) | ((expected > 2) & (known < expected * 0.3)) | (runs > 5))
+    short = t.let(t.words(c), lambda w: F.when(F.size(w) > 0, F.size(F.filter(w, lambda x: F.length(x) <= 2)) / F.size(w)))
+    flag = lambda m: ((m["short"] > 0.4) & (m["known"] < 5)) | ((expected > 2) & (m["known"] < expected * 0.3)) | (runs > 5)
+    measured = F.struct(short.alias("short"), _known_words(low, common).alias("known"))
+    return F.when((F.length(t.strip(c)) < 50), False).otherwise(t.let(measured, lambda m: m["short"].isNotNull() & flag(m)))
 
 
 def validate_pair(activity: Column, benefit: Column, min_length: int = 20, artifacts: Sequence[str] = P.ARTIFACTS, instructions: Sequence[str] = P.INSTRUCTIONS, placeholders: Sequence[str] = P.PLACEHOLDERS) -> Column:
