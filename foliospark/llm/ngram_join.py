@@ -11,9 +11,9 @@ passages that many documents share out of the prefixes.
 Prefix.  With n shingles, a link needs a = ceil(80 n / 100) common ones.  So of the first n - a + l
 shingles of either document at least l are shared, for any l up to a.  Each document chooses
 its own l: it lengthens its prefix as long as that lowers the estimated cost, the
-prefix's postings plus the candidates that may share l of them.  A document of whose prefix
-fewer than its own l shingles occur anywhere else can't link at all and goes.  A pair has to
-share the smaller of its two l.
+prefix's postings plus the candidates that may share l of them.  A pair has to share the
+smaller of its two l.  So a document goes if its prefix meets other prefixes in fewer shingles
+than the least l, its own or another's, in the posting lists where it does.
 
 Pairs without squares.  Equal sets are one class, known by a hash of the set.  First each class is
 paired only with one class of each posting list, the one with the least of its own; pairs that share enough are verified, and
@@ -366,15 +366,17 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     empty = bytes(2 * WIDTH // CHUNKS * 4)
     sketch = spark.sparkContext.broadcast(b"".join(chunks.get(c, empty) for c in range(CHUNKS)))
 
-    # Postings of shingles that two classes share at least, of classes that share l of them at least.
+    # Postings of shingles that two classes share at least, of classes that share enough of them for
+    # the least l in their lists: a pair needs the smaller of its two, so a class's own l is too strict.
     # A copy of a set that two tasks sent has equal ids, so it doesn't make a shingle shared.
     postings = text.mapInArrow(tidied(_prefixes(sketch)), "token long, sid long, meta long").repartition("token")
     whole = W.partitionBy("token")
-    postings = postings.withColumn("lo", F.min("sid").over(whole)).withColumn("hi", F.max("sid").over(whole)).where("lo <> hi")
-    shared = postings.select("token", "sid", F.shiftright("meta", 34).alias("n"), F.col("meta").bitwiseAND(15).cast("int").alias("l"), F.shiftright("meta", 4).bitwiseAND((1 << 30) - 1).alias("pos"))
+    own_l = F.col("meta").bitwiseAND(15).cast("int")
+    postings = postings.withColumn("lo", F.min("sid").over(whole)).withColumn("hi", F.max("sid").over(whole)).withColumn("low", F.min(own_l).over(whole)).where("lo <> hi")
+    shared = postings.select("token", "sid", F.shiftright("meta", 34).alias("n"), own_l.alias("l"), "low", F.shiftright("meta", 4).bitwiseAND((1 << 30) - 1).alias("pos"))
     shared = materialize(shared.dropDuplicates(["token", "sid"]), "jaccard-postings")
-    able = shared.groupBy("sid").agg(F.count("*").alias("k"), F.first("l").alias("l")).where("k >= l")
-    postings, shared = shared, materialize(shared.join(able.select("sid", "k"), "sid"), "jaccard-able")
+    able = shared.groupBy("sid").agg(F.count("*").alias("k"), F.min("low").alias("low")).where("k >= low")
+    postings, shared = shared, materialize(shared.drop("low").join(able.select("sid", "k"), "sid"), "jaccard-able")
     discard(postings)
 
     # Round 1: a star around one class of each list, the one that shares the most of its prefix.

@@ -399,6 +399,19 @@ def test_ngram_join_against_brute_force(spark):
     assert sorted(x.doc_id for x in left.collect()) == sorted(i for i, _, c in want if i == c)
 
 
+def test_ngram_join_of_a_widespread_passage(spark):
+    r = random.Random(5)
+    passage = [f"p{i}" for i in range(24)]
+    new = lambda n: [f"n{r.randrange(10**9)}" for _ in range(n)]
+    # Alone, the passage asks for more matches than those that add rare words to it do.
+    texts = [" ".join(passage), *(" ".join(passage + new(5)) for _ in range(4))]
+    texts += [" ".join(new(150) + passage + new(150)) for _ in range(300)]
+    order = list(range(len(texts)))
+    want, n = jaccard_groups(texts, order)
+    got = Counter(tuple(x) for x in ngram_join.groups(docs_of(spark, texts, order)).collect())
+    assert n == 4 and got == want
+
+
 def test_ngram_join_without_any_link(spark):
     docs = docs_of(spark, ["a b c d e f", "g h i j k l", "m n o", "", None])
     rows = {r.doc_id: tuple(r)[1:] for r in ngram_join.groups(docs).collect()}
