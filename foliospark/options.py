@@ -23,6 +23,7 @@ class Options:
     column_share: float = 0.15
     dpi: int = 200
     retry_dpis: tuple[int, ...] = (150, 250, 300)
+    enhanced_dpi: int = 400
     company_number: str = r"^([A-Z]{2}\d{6}|\d{6,8})"
 
 

@@ -86,7 +86,18 @@ def batch(spark: SparkSession, folder: str, out: str, log_dir: str | None = None
     pages = PDF.page_texts(files)
     pages.write.mode("overwrite").parquet(f"{target}/pages")
     pages = spark.read.parquet(f"{target}/pages")
-    results = X.run(pages.where("error is null").drop("error"), PDF.page_tables(files) if PDF.capabilities()["pdf_text"] else None, docs=files.select("doc_id"))
+    texts = pages.where("error is null").drop("error")
+    # Recognition costs seconds a page, so what it finds is written and read again.
+    wanted = X.pages_to_recognise(texts)
+    wanted.write.mode("overwrite").parquet(f"{target}/to_recognise")
+    wanted = spark.read.parquet(f"{target}/to_recognise")
+    PDF.recognise(files, wanted).write.mode("overwrite").parquet(f"{target}/recognised")
+    PDF.layout_words(files, wanted).write.mode("overwrite").parquet(f"{target}/words")
+    recognised, words = spark.read.parquet(f"{target}/recognised"), spark.read.parquet(f"{target}/words")
+    failed = recognised.where("error is not null").count()
+    if failed:
+        log.warning("%s pages could not be recognised", failed)
+    results = X.run(texts, PDF.page_tables(files) if PDF.capabilities()["pdf_text"] else None, words, docs=files.select("doc_id"), recognised=recognised)
     results.write.mode("overwrite").parquet(f"{target}/results")
     results = spark.read.parquet(f"{target}/results")
     IO.write_results(results.drop("status_detail"), f"{target}/json")

@@ -107,6 +107,20 @@ def extract_recognised(pages: DataFrame, words: DataFrame | None = None, o: Opti
     )
 
 
+def extract_enhanced(recognised: DataFrame) -> DataFrame:
+    """Rows of all pages that were recognised with ``enhanced``, read as one text: doc_id, activities, extraction_method."""
+    text = P.joined_text(recognised.where("error is null"))
+    rows = F.filter(F.transform(R.parse_section(F.col("text")), lambda e: R.pair(e["activity"], e["benefit"])), lambda a: (a["activity"] != "") | (a["benefit"] != ""))
+    return text.select("doc_id", rows.alias("activities"), F.lit("ocr_enhanced").alias("extraction_method"))
+
+
+def pages_to_recognise(pages: DataFrame, docs: DataFrame | None = None, o: Options = DEFAULT) -> DataFrame:
+    """(doc_id, page_num) of the image pages that recognition reads: the usual places of a scan, a hybrid's last image pages."""
+    kinds = P.classify(pages, docs, o.page_chars)
+    read = P.pages_to_read(F.col("document_type"), F.lit(None).cast("int"), P.guess_pages(F.col("page_count"), o), F.col("image_pages"), o)
+    return kinds.where("document_type <> 'electronic'").select("doc_id", F.explode(read).alias("page_num"))
+
+
 def structure(extracted: DataFrame, classified: DataFrame, o: Options = DEFAULT) -> DataFrame:
     """Result documents (see ``sources.results.schema``), one for each classified document, and status_detail."""
     d = classified.join(extracted, "doc_id", "left")
@@ -144,18 +158,29 @@ def structure(extracted: DataFrame, classified: DataFrame, o: Options = DEFAULT)
     )
 
 
-def run(pages: DataFrame, tables: DataFrame | None = None, words: DataFrame | None = None, docs: DataFrame | None = None, o: Options = DEFAULT) -> DataFrame:
+def run(pages: DataFrame, tables: DataFrame | None = None, words: DataFrame | None = None, docs: DataFrame | None = None, o: Options = DEFAULT, recognised: DataFrame | None = None) -> DataFrame:
     """Page texts (doc_id, page_num, text) of any documents -> result documents.
 
     Documents with a text layer on every page go by tables and text; the others are read as recognised ones.
+    recognised (doc_id, page_num, text, error) stands in for those pages' text layer, which alone
+    says what kind a document is; a document of which no page could be recognised says so.
     """
     classified = P.classify(pages, docs, o.page_chars)
     found = L.find_form_pages(pages).select("doc_id", "form_pages", "confidence", F.col("section_page").alias("located"))
     kinds = classified.select("doc_id", "document_type")
     electronic = pages.join(kinds.where("document_type = 'electronic'").select("doc_id"), "doc_id", "left_semi")
     others = pages.join(kinds.where("document_type <> 'electronic'").select("doc_id"), "doc_id", "left_semi")
+    if recognised is not None:
+        new = recognised.where("error is null").select("doc_id", "page_num", F.col("text").alias("new"))
+        others = others.join(new, ["doc_id", "page_num"], "left").withColumn("text", F.coalesce("new", "text")).drop("new")
     by_text = extract_text(electronic, found.select("doc_id", F.col("located").alias("section_page")), tables)
     by_ocr = extract_recognised(others, words, o)
+    if recognised is not None:
+        failed = recognised.groupBy("doc_id").agg(F.min("error").alias("failure"), F.count("*").alias("n"), F.count("error").alias("failed")).where("failed = n")
+        by_ocr = by_ocr.join(failed.select("doc_id", "failure"), "doc_id", "left")
+        lost = F.col("failure").isNotNull() & (F.size("activities") == 0)
+        told = F.when(lost, F.concat(F.lit("No page could be recognised: "), F.col("failure"))).otherwise(F.col("error"))
+        by_ocr = by_ocr.withColumn("status_detail", F.when(lost, "not_recognised").otherwise(F.col("status_detail"))).withColumn("error", told).drop("failure")
     extracted = by_text.unionByName(by_ocr, allowMissingColumns=True).join(found, "doc_id", "left").withColumn("section_page", F.coalesce("section_page", "located"))
     return structure(extracted, classified, o)
 

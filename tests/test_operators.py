@@ -321,6 +321,64 @@ def test_scores_do_not_depend_on_partitions(spark):
     assert sorted(map(tuple, docs.collect())) == sorted(map(tuple, docs.repartition(7).collect()))
 
 
+FAKES = {
+    "pdf2image": """
+class Image:
+    def __init__(self, text, dpi):
+        self.text, self.dpi, self.width = text, dpi, 1000
+    def convert(self, mode):
+        return self
+
+def convert_from_bytes(content, first_page, last_page, dpi):
+    return [Image(content.decode().split("|")[first_page - 1], dpi)]
+""",
+    "pytesseract": """
+class Output:
+    DICT = "dict"
+
+def image_to_string(image, config=""):
+    if image.text == "broken":
+        raise ValueError("no page")
+    return f"{image.text} {image.dpi} {config}" if image.text.startswith("plain") else image.text
+
+def image_to_data(image, config, output_type):
+    assert config == "--psm 6" and output_type == "dict"
+    words = image.text.split()
+    n = range(len(words))
+    return {"text": words + [" "], "left": [0 for _ in n] + [0], "top": [20 * i for i in n] + [0], "width": [50 for _ in n] + [0], "height": [9 for _ in n] + [0], "conf": ["91.5" for _ in n] + ["-1"], "line_num": list(n) + [0], "block_num": [0 for _ in n] + [0]}
+""",
+}
+
+
+def test_batch_recognises_scans(spark, tmp_path, monkeypatch):
+    for name, code in FAKES.items():
+        (tmp_path / f"{name}.py").write_text(code)
+        spark.sparkContext.addPyFile(str(tmp_path / f"{name}.py"))
+    scan = ["Form CIC 36 the company will benefit below local people in the town\nSECTION B", "broken", SECTION]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/00000001.pdf").write_text("|".join(scan))
+    (tmp_path / "in/00000002.pdf").write_text("broken|broken")
+    # No page has a text layer.
+    layer = [("00000001.pdf", n, "", None) for n in (1, 2, 3)] + [("00000002.pdf", n, "", None) for n in (1, 2)]
+    monkeypatch.setattr(E.PDF, "page_texts", lambda files: spark.createDataFrame(layer, pdf.PAGES))
+    monkeypatch.setattr(E.PDF, "capabilities", lambda: {"pdf_text": False})
+    assert E.batch(spark, str(tmp_path / "in"), str(tmp_path / "out"), dated=False)["success"] == 1
+    rows = {r.company_number: r for r in spark.read.parquet(str(tmp_path / "out/results")).collect()}
+    good, bad = rows["00000001"], rows["00000002"]
+    assert good.document_type == bad.document_type == "scanned" and good.extraction_metadata.cic36_page == 3
+    assert "dance class" in good.section_b.activities[0].activity and good.extraction_metadata.extraction_method == "ocr"
+    assert bad.status_detail == "not_recognised" and "no page" in bad.extraction_metadata.error
+    words = spark.read.parquet(str(tmp_path / "out/words"))
+    assert words.columns == [x.split()[0] for x in pdf.LAYOUT_WORDS.split(", ")]
+    assert words.where("doc_id = '00000001.pdf' and page_num = 1").count() == len(scan[0].split()) and {r.conf for r in words.collect()} == {91}
+    files = spark.createDataFrame([("d", b"plain")], "doc_id string, content binary")
+    one = spark.createDataFrame([("d", 1)], "doc_id string, page_num int")
+    assert pdf.recognise(files, one, enhanced=True).first().text == "plain 400 --oem 3 --psm 6"
+    whole = spark.createDataFrame([("e", 2, "Benefit to community SECTION C", None), ("e", 1, SECTION.removesuffix("\nSECTION C"), None)], pdf.PAGES)
+    r = extract.extract_enhanced(whole).first()
+    assert r.extraction_method == "ocr_enhanced" and "dance class" in r.activities[0].activity
+
+
 def test_options_are_frozen():
     with pytest.raises(Exception):
         Options().page_chars = 3
