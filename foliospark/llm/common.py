@@ -14,6 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 # ---------------------------------------------------------------- tables and scratch space
 
@@ -57,16 +58,24 @@ def discard(*tables: DataFrame) -> None:
             place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def drop_by_id(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 1_000_000) -> DataFrame:
-    """``docs`` without the rows whose id is in ``ids`` (materialised, one column).
+def drop_rows(docs: DataFrame, lost: DataFrame, again: DataFrame, mark: Column, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 500_000) -> DataFrame:
+    """``docs`` without the rows whose id (null is a value too) and ``mark`` are in ``lost`` (__id, __mark; materialised).
 
-    The id list is counted first: at most ``broadcast_rows`` ids (8 MB) are broadcast, and
-    longer lists go through a shuffled anti join.  Rows with a null id stay.
+    Of rows whose id and mark are in ``again``, the one with the longest text stays.  Both lists
+    are counted first: short ones (some 50 MB) are broadcast, longer ones go through a shuffle.
     """
-    ids = ids.select(F.col(id_col).alias("__drop")).where("__drop is not null").distinct()
-    if ids.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        ids = F.broadcast(ids)
-    return docs.join(ids, F.col(id_col) == F.col("__drop"), "left_anti")
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (mark == F.col("__mark"))
+
+    def listed(x: DataFrame) -> DataFrame:
+        x = x.select("__id", "__mark").distinct()
+        return F.broadcast(x) if x.limit(broadcast_rows + 1).count() <= broadcast_rows else x
+
+    out = docs.join(listed(lost.unionByName(again)), same, "left_anti")
+    if not again.take(1):
+        return out
+    order = W.partitionBy("__id", "__mark").orderBy(F.length(text_col).desc_nulls_last())
+    one = docs.join(listed(again), same).withColumn("__rank", F.row_number().over(order)).where("__rank = 1")
+    return out.unionByName(one.drop("__id", "__mark", "__rank"))
 
 
 def crc_mod(id_col: str, m: int) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import drop_by_id, materialize
+from .common import drop_rows, materialize
 
 #: Code points of the normalised text in the prefix hash.
 PREFIX = 128
@@ -86,13 +86,6 @@ def _one_of_repeated(out: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, in its own columns."""
     groups = materialize(exact_groups(docs, id_col, text_col), "exact-groups")
-    out = drop_by_id(docs, groups.where("not kept and not doc_id <=> keep_id").select(F.col("doc_id").alias(id_col)), id_col)
-    # Rows that share the id of the row that stays (or have none) are told apart by their text.
-    more = groups.where("not kept and doc_id <=> keep_id").select(F.col("doc_id").alias("__again")).distinct()
-    if not more.take(1):
-        return out
-    same = F.col(id_col).eqNullSafe(F.col("__again"))
-    again = docs.join(more, same, "left_semi").withColumn("__norm", normal(F.col(text_col)))
-    order = W.partitionBy("__norm").orderBy(F.length(text_col).desc_nulls_last())
-    again = again.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__norm", "__rank")
-    return out.join(more, same, "left_anti").unionByName(again)
+    # Rows are known by id and text: an id may be null or stand for other texts as well.
+    gone = groups.where("not kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__mark"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("again"))
+    return drop_rows(docs, gone.where("not again").drop("again"), gone.where("again").drop("again"), F.unhex(full_hash(normal(F.col(text_col)))), id_col, text_col)

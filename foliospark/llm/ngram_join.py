@@ -45,7 +45,7 @@ from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BooleanType
 
-from .common import discard, drop_by_id, join_bytes, materialize, merge_dense, mix, space_words, text_slices, tidied, word_hashes
+from .common import discard, drop_rows, join_bytes, materialize, merge_dense, mix, space_words, text_slices, tidied, word_hashes
 
 WORDS = 5
 #: The threshold as a share of 100.
@@ -420,6 +420,12 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id, in its own columns."""
-    found = materialize(groups(docs, id_col, text_col), "jaccard-groups")
-    return drop_by_id(docs, found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)), id_col)
+    """``docs`` with one document of each group, the one with the smallest id (a null id comes last), in its own columns."""
+    # Rows are known by id and text: an id may be null or stand for other texts as well.
+    mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), mark.alias("mark"))
+    found = materialize(groups(docs.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text"), "jaccard-groups")
+    rows = found.select(F.col("doc_id.id").alias("__id"), F.col("doc_id.mark").alias("__mark"), F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "n_shingles")
+    again = rows.where("kept and n_shingles > 0").groupBy("__id", "__mark").count().where("count > 1").drop("count")
+    again = materialize(again, "jaccard-repeated")
+    return drop_rows(docs, rows.where("not kept").select("__id", "__mark"), again, mark, id_col, text_col)

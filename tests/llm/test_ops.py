@@ -320,6 +320,19 @@ def test_exact_dedup_of_repeated_rows(spark):
     assert sorted((x.text for x in left.collect())) == ["a b ", "c", "d"]
 
 
+def test_copies_are_dropped_by_row(spark):
+    # A null id beside a keeper that has one; an id that stands for a text of its own as well.
+    x, y, z = (" ".join(f"{c}{i}" for i in range(30)) for c in "xyz")
+    ids, texts = [None, 5, 1, 1, 0, None, None, 7, 7], [x, x, y, z, z, "q r", "q r", "s", "s"]
+    docs = docs_of(spark, texts, ids)
+    want = Counter([(5, x), (1, y), (0, z), (None, "q r"), (7, "s")])
+    for drop in (exact_dedup.drop_copies, ngram_join.drop_near_copies):
+        left = drop(docs)
+        assert left.columns == docs.columns and Counter((r.doc_id, r.text) for r in left.collect()) == want
+    near = docs_of(spark, [x, x + " more", y, z, z + " more"], [None, 5, 1, 1, 0])
+    assert Counter((r.doc_id, r.text) for r in ngram_join.drop_near_copies(near).collect()) == Counter([(5, x + " more"), (1, y), (0, z + " more")])
+
+
 # ---------------------------------------------------------------- 8: shards
 
 
