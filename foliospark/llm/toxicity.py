@@ -9,7 +9,8 @@ that begin with a kept prefix, but whose own ratio is no higher than 1, are kept
 a word's own record counts before its prefix's.
 
 Scoring.  A token weighs what its word's longest feature weighs, less ``cost``, so that the
-expected weight is negative.  One linear scan (Ruzzo and Tompa's) finds all maximal-scoring
+expected weight is negative; repeats of a word nearby weigh less, those further than ``window``
+tokens back don't count, so a passage weighs the same wherever it stands.  One linear scan (Ruzzo and Tompa's) finds all maximal-scoring
 segments.  A segment of score S in n tokens has the expected count E = K n exp(-lambda S)
 (Karlin and Altschul): lambda solves sum p(s) exp(lambda s) = 1 over the token weights of
 documents that aren't toxic, K is the rate of positive segments in them.  Segments with E below
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +53,7 @@ class Params:
     cost: float = 0.1
     e_max: float = 0.05
     folds: int = 5
+    window: int = 100
 
 
 PREFIXES = range(4, 9)
@@ -102,8 +104,8 @@ def segments(weights: list[tuple[int, float]], cost: float) -> list[tuple[int, i
 class Model:
     """Weights of features, and the constants of calibration."""
 
-    def __init__(self, weights: dict[str, float], cost: float, e_max: float):
-        self.weights, self.cost, self.e_max = weights, cost, e_max
+    def __init__(self, weights: dict[str, float], cost: float, e_max: float, window: int = Params.window):
+        self.weights, self.cost, self.e_max, self.window = weights, cost, e_max, window
         self.lam, self.k = 1.0, 1e-3
         self.curve = (-50.0, 0.0, 0.0)
         self.cache: dict[bytes, float | None] = {}
@@ -122,13 +124,18 @@ class Model:
         return out
 
     def listed(self, words: list[bytes]) -> list[tuple[int, float]]:
-        """Positions whose word has a weight; a word's k-th occurrence in the document weighs a k-th, as one word over and over tells little more than once."""
-        cache, out, seen = self.cache, [], {}
+        """Positions whose word has a weight; a word's k-th occurrence within ``window`` tokens weighs a k-th, as one word over and over tells little more than once."""
+        cache, out, seen, window = self.cache, [], {}, self.window
         for i, w in enumerate(words):
             x = cache[w] if w in cache else self.weight(w)
+            if x and x > 0:
+                near = seen.setdefault(w, deque())
+                while near and near[0] <= i - window:
+                    near.popleft()
+                near.append(i)
+                x /= len(near)
             if x:
-                seen[w] = k = seen.get(w, 0) + 1
-                out.append((i, (x / k if x > 0 else x) - self.cost))
+                out.append((i, x - self.cost))
         return out
 
     def e_value(self, score: float, n: int) -> float:
@@ -209,7 +216,7 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
         whole = words.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).first()
         all1, all0 = whole["n1"] or 0, whole["n0"] or 0
         if not all1 or not all0:
-            return Model({}, params.cost, params.e_max)
+            return Model({}, params.cost, params.e_max, params.window)
         prefix = F.explode(F.filter(F.transform(F.array(*[F.lit(n) for n in PREFIXES]), lambda n: F.when(F.length("word") >= n, F.substring(F.col("word"), F.lit(1), n))), lambda p: p.isNotNull()))
         features = words.select(F.concat("word", F.lit("$")).alias("f"), "n1", "n0").unionByName(words.select(prefix.alias("f"), "n1", "n0").groupBy("f").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")))
         a, b = F.col("n1") + params.prior, F.col("n0") + params.prior
@@ -227,7 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
             weights = {r.f: 0.0 for r in own.collect()} | weights
     finally:
         words.unpersist()
-    model = Model(weights, params.cost, params.e_max)
+    model = Model(weights, params.cost, params.e_max, params.window)
 
     shared = share(docs.sparkSession, model)
 

@@ -115,6 +115,18 @@ def test_toxicity_on_held_out_rows(spark):
     assert hit[1, 1] / (hit[1, 1] + hit[1, 0]) > 0.85 and hit[0, 1] / (hit[0, 0] + hit[0, 1]) < 0.01
 
 
+def test_toxicity_finds_passages_late_in_long_texts():
+    m = toxicity.Model({"idiot$": 4.0, "scum$": 4.0, "pathetic$": 4.0}, 0.1, 0.05)
+    filler, dense = [b"plain"] * 300, toxicity.tokens("you idiot and pathetic scum")
+    found = m.passages((filler + dense) * 20)
+    assert [(a, b) for a, b, *_ in found] == [(305 * k + 301, 305 * k + 304) for k in range(20)]
+    # After many isolated mentions of its words.
+    words = (filler + [b"idiot"] + filler + [b"scum"] + filler + [b"pathetic"]) * 10
+    assert [(a, b) for a, b, *_ in m.passages(words + filler + dense)] == [(len(words) + 301, len(words) + 304)]
+    # One word over and over is still no more than a little.
+    assert sum(s for *_, s in toxicity.segments(m.listed([b"idiot"] * 90), m.cost)) < 4 * 6
+
+
 def test_toxicity_odd_rows(spark):
     base = ["clean words about nothing at all " * 3, "you idiot and scum are pathetic scum idiot"] * 300
     docs = docs_of(spark, ODD + base)
