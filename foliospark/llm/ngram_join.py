@@ -20,7 +20,7 @@ paired only with one class of each posting list, the one with the least of its o
 verified links give components.  Then posting lists are joined again, but only for
 classes of different components; lists inside one component, such as those of large groups
 of near copies, make no pairs.  Components after the second round are exact, as a pair left
-out was connected already.  ``links`` lists verified pairs of both rounds.
+out was connected already.  ``links`` lists verified pairs of both rounds, ``all_links`` every one.
 
 Verification compares whole sets.  Only documents that stand for a class in a candidate pair send
 theirs: a Bloom filter of those ids, of a size that follows their number up to a fixed
@@ -356,8 +356,8 @@ def _matched(met: DataFrame) -> DataFrame:
     return met.where(close & near).groupBy("a", "b").agg(F.count("*").alias("k"), F.first(least).alias("least")).where("k >= least").select("a", "b")
 
 
-def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents with their classes, verified links between classes, and classes' components."""
+def _postings(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Documents with their classes, and the postings (token, sid, n, l, pos, k) of classes that may link."""
     spark = docs.sparkSession
     text = docs.select(F.col(text_col).alias("text"))
     members, parts = _read(docs, id_col, text_col)
@@ -378,6 +378,35 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     able = shared.groupBy("sid").agg(F.count("*").alias("k"), F.min("low").alias("low")).where("k >= low")
     postings, shared = shared, materialize(shared.drop("low").join(able.select("sid", "k"), "sid"), "jaccard-able")
     discard(postings)
+    return members, shared
+
+
+def all_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Documents with their classes, and every link (a, b) between classes, a < b; equal sets are one class.
+
+    All pairs of each posting list are met, so the work follows the number of candidates, not of components.
+    """
+    members, shared = _postings(docs, id_col, text_col)
+    other = shared.select("token", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("l").alias("l2"), F.col("pos").alias("pos2"))
+    pairs = materialize(_matched(shared.withColumnRenamed("sid", "a").join(other, "token").where("a < b")), "jaccard-pairs")
+    return members, _verify(pairs, docs.select(F.col(text_col).alias("text")))
+
+
+def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row a document: doc_id, n_shingles, n_links (other documents it links with)."""
+    members, found = all_links(docs, id_col, text_col)
+    sizes = members.where("n > 0").groupBy("sid").agg(F.count("*").alias("size"))
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    far = both.join(sizes.withColumnRenamed("sid", "b"), "b").groupBy(F.col("a").alias("sid")).agg(F.sum("size").alias("far"))
+    linked = sizes.join(far, "sid", "left").select("sid", (F.col("size") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"))
+    full = members.where("n > 0").join(linked, "sid").select("doc_id", F.col("n").alias("n_shingles"), "n_links")
+    return full.unionByName(members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.lit(0).cast("long").alias("n_links")))
+
+
+def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with their classes, verified links that connect each component of classes (not all: see ``all_links``), and components."""
+    text = docs.select(F.col(text_col).alias("text"))
+    members, shared = _postings(docs, id_col, text_col)
 
     # Round 1: a star around one class of each list, the one that shares the most of its prefix.
     centre = F.struct((F.col("k") * 1000 / (F.col("n") - F.ceil(F.col("n") * SHARE / 100) + F.col("l"))).cast("long").alias("share"), "sid", "n", "l", "pos")

@@ -437,6 +437,22 @@ def test_ngram_join_of_a_widespread_passage(spark):
     assert n == 4 and got == want
 
 
+def test_ngram_join_counts_all_links(spark):
+    r = random.Random(8)
+    texts = [None, "", "a b c", "a B c"]
+    for g in range(3):
+        base = [f"g{g}w{i}" for i in range(110)]
+        for _ in range(12):
+            t = list(base)
+            t[r.randrange(110)] = f"n{r.randrange(10**9)}"
+            texts.append(" ".join(t))
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := space_words(t)) else set() for t in texts]
+    near = lambda a, b: a and b and 100 * len(a & b) >= 80 * len(a | b)
+    want = {i: sum(1 for j, y in enumerate(sets) if i != j and near(x, y)) for i, x in enumerate(sets)}
+    rows = ngram_join.link_counts(docs_of(spark, texts)).collect()
+    assert {x.doc_id: x.n_links for x in rows} == want and len(rows) == len(texts) and max(want.values()) > 3
+
+
 def test_ngram_join_without_any_link(spark):
     docs = docs_of(spark, ["a b c d e f", "g h i j k l", "m n o", "", None])
     rows = {r.doc_id: tuple(r)[1:] for r in ngram_join.groups(docs).collect()}
