@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import ctypes
 import math
+import re
 import shutil
 import tempfile
 import uuid
@@ -24,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a temporary one only where none is set."""
+    """The shared folder named in spark.checkpoint.dir; a temporary one where none is set and one machine does all."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="foliospark-")
         atexit.register(shutil.rmtree, root, True)
         root = f"file://{root}"
@@ -34,15 +37,17 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, merge: bool = True) -> DataFrame:
     """Write a table to the shared scratch folder and read it again.
 
     This cuts the lineage: rows that were computed once are read, not recomputed, after an
-    executor is lost.  Only narrow intermediate tables should come here.
+    executor is lost.  Only narrow intermediate tables should come here.  With ``merge`` they are
+    shuffled into files of the size that adaptive execution aims at, as a scan's tasks would else
+    leave a small file each; what comes out of a shuffle is of that size already.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.hint("rebalance") if merge else df).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
@@ -58,24 +63,70 @@ def discard(*tables: DataFrame) -> None:
             place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def drop_rows(docs: DataFrame, lost: DataFrame, again: DataFrame, mark: Column, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 500_000) -> DataFrame:
-    """``docs`` without the rows whose id (null is a value too) and ``mark`` are in ``lost`` (__id, __mark; materialised).
+#: Rows of two or three numbers that may be broadcast: some 50 MB.
+BROADCAST_ROWS = 500_000
+
+
+def short(x: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a materialised table is small enough to be broadcast; it is counted, no further than needed."""
+    return x.limit(rows + 1).count() <= rows
 
-    Of rows whose id and mark are in ``again``, the one with the longest text stays.  Both lists
-    are counted first: short ones (some 50 MB) are broadcast, longer ones go through a shuffle.
-    """
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (mark == F.col("__mark"))
 
-    def listed(x: DataFrame) -> DataFrame:
-        x = x.select("__id", "__mark").distinct()
-        return F.broadcast(x) if x.limit(broadcast_rows + 1).count() <= broadcast_rows else x
+def drop_rows(docs: DataFrame, lost: DataFrame, again: DataFrame, mark: Column, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``docs`` without the rows whose id (null is a value too) and ``mark`` are in ``lost`` (id, mark; materialised).
 
-    out = docs.join(listed(lost.unionByName(again)), same, "left_anti")
+    Of rows whose id and mark are in ``again``, the one with the longest text stays.  Both lists
+    are counted first: short ones are broadcast, and ``mark`` is only taken of rows whose id
+    is in a list; longer ones go through a shuffle.
+    """
+    own, key, value, rank = fresh(docs.columns, "__own", "__id", "__mark", "__rank")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+
+    def listed(x: DataFrame, brief: bool) -> DataFrame:
+        x = x.select(F.col("id").alias(key), F.col("mark").alias(value)).distinct()
+        return F.broadcast(x) if brief else x
+
+    def marked(x: DataFrame, brief: bool) -> DataFrame:
+        if not brief:
+            return docs.withColumn(own, mark)
+        flag = x.select(F.col("id").alias(key)).distinct().withColumn(own, F.lit(True))
+        known = docs.join(F.broadcast(flag), F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left")
+        return known.select(*columns, F.when(F.col(own), mark).alias(own))
+
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(key)) & (F.col(own) == F.col(value))
+    gone = lost.unionByName(again)
+    brief = short(gone, broadcast_rows)
+    out = marked(gone, brief).join(listed(gone, brief), same, "left_anti").select(*columns)
     if not again.take(1):
         return out
-    order = W.partitionBy("__id", "__mark").orderBy(F.length(text_col).desc_nulls_last())
-    one = docs.join(listed(again), same).withColumn("__rank", F.row_number().over(order)).where("__rank = 1")
-    return out.unionByName(one.drop("__id", "__mark", "__rank"))
+    brief = short(again, broadcast_rows)
+    order = W.partitionBy(key, value).orderBy(F.length(F.col(f"`{text_col}`")).desc_nulls_last())
+    one = marked(again, brief).join(listed(again, brief), same).withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+    return out.unionByName(one.select(*columns))
+
+
+#: Bytes of an Arrow batch, where the session has it larger: batches of texts are held several times on their way.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same DataFrame, in a session whose Arrow batches are of ``BATCH_BYTES`` at most (a setting of the session)."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = df.sparkSession._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if not 0 < now <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
+def fresh(taken: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each made longer until no column of ``taken`` has it (case doesn't count)."""
+    have, out = {c.lower() for c in taken}, []
+    for w in wanted:
+        while w.lower() in have:
+            w += "_"
+        have.add(w.lower())
+        out.append(w)
+    return out
 
 
 def crc_mod(id_col: str, m: int) -> Column:

@@ -9,10 +9,12 @@ smallest id (a null id comes last), and of rows with the same id and number of c
 one, whichever.  A null text counts as an empty one, so null, empty and blank texts are one
 group.  Extra columns are ignored.  An empty table gives an empty result.
 
-The text never enters a shuffle.  One scan reduces each row to about 100 bytes, which are
-written to the scratch folder; the groups of every step come from that table with partial
-aggregation before the shuffle, so a group of any size costs a row a task.  The joins back to
-the rows are sort-merge joins whose large partitions adaptive execution splits.
+The text never enters a shuffle.  ``exact_groups`` has to give every row's digest, so its one
+scan reduces each row to about 100 bytes, which are written to the scratch folder; the groups of
+every step come from that table with partial aggregation before the shuffle, so a group of any
+size costs a row a task.  The joins back to the rows are sort-merge joins whose large partitions
+adaptive execution splits.  ``drop_copies`` needs no digest, so it takes one only of texts that
+share length and prefix with another.
 """
 
 from __future__ import annotations
@@ -21,15 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import drop_rows, materialize
+from .common import drop_rows, materialize, short
 
 #: Code points of the normalised text in the prefix hash.
 PREFIX = 128
-BLANK = "[\\x20\\x09-\\x0D]+"
+BLANK = " \t\n\x0b\f\r"
 
 
 def normal(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), BLANK, "")
+    return F.translate(F.coalesce(text, F.lit("")), BLANK, "")
 
 
 def full_hash(normalised: Column) -> Column:
@@ -84,8 +86,29 @@ def _one_of_repeated(out: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, in its own columns."""
-    groups = materialize(exact_groups(docs, id_col, text_col), "exact-groups")
+    """``docs`` with one row of each group of equal texts, in its own columns.
+
+    Each step takes more of fewer texts: lengths of all, prefix hashes of texts whose length
+    occurs twice, digests of those whose length and prefix do.  A step's keys are counted and
+    broadcast to the scan of the next, so texts aren't shuffled; keys too many for that let all
+    texts through to the next step.  (Of n bytes of text, at most sqrt(2 n) lengths can differ.)
+    """
+    text = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).withColumn("norm", normal(F.col("text")))
+    some = text.withColumn("len", F.length("norm"))
+    some = _survivors(some, some.select("len"))
+    some = some.withColumn("prefix", F.xxhash64(F.substring("norm", 1, PREFIX)))
+    some = _survivors(some, some.select("len", "prefix"))
+    rows = materialize(some.select("doc_id", F.length("text").alias("chars"), "len", "prefix", F.unhex(full_hash(F.col("norm"))).alias("sha")), "exact-suspects")
+    best = F.min(F.struct((-F.col("chars")).alias("less"), F.col("doc_id").isNull().alias("no_id"), "doc_id"))
+    groups = rows.groupBy("len", "prefix", "sha").agg(F.count("*").alias("n"), best.alias("best")).where("n > 1")
+    found = rows.join(groups.select("sha", "best"), "sha").select("doc_id", "sha", F.col("doc_id").eqNullSafe(F.col("best.doc_id")).alias("same"))
     # Rows are known by id and text: an id may be null or stand for other texts as well.
-    gone = groups.where("not kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__mark"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("again"))
-    return drop_rows(docs, gone.where("not again").drop("again"), gone.where("again").drop("again"), F.unhex(full_hash(normal(F.col(text_col)))), id_col, text_col)
+    gone = found.groupBy(F.col("doc_id").alias("id"), F.col("sha").alias("mark")).agg(F.count("*").alias("n"), F.first("same").alias("same"))
+    gone = materialize(gone.where("n > 1 or not same"), "exact-gone", merge=False)
+    return drop_rows(docs, gone.where("not same").select("id", "mark"), gone.where("same").select("id", "mark"), F.unhex(full_hash(normal(F.col(f"`{text_col}`")))), id_col, text_col)
+
+
+def _survivors(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose key (the columns of ``keys``) occurs twice at least, or all if such keys are too many to be broadcast."""
+    twice = materialize(keys.groupBy(*keys.columns).agg(F.count("*").alias("n")).where("n > 1").drop("n"), "exact-keys", merge=False)
+    return rows.join(F.broadcast(twice), keys.columns, "left_semi") if short(twice) else rows

@@ -6,7 +6,11 @@ empty and linked with nothing.  Two documents link when 100 * |A and B| >= 80 *
 
 Order.  Shingles are ordered rarest first, by a count sketch of all documents (two rows of
 ``WIDTH`` counters, smaller one counts) and then by hash.  Any order is right; this one keeps
-passages that many documents share out of the prefixes.
+passages that many documents share out of the prefixes.  The more shingles, the more of them
+meet in a counter by chance: the usual sum (the median) is taken off, and what doesn't stand out
+from it by ``STANDS_OUT`` times the usual deviation counts as rare.  That deviation grows as the
+square root of the corpus only, so a sketch of fixed size still finds the passages that matter:
+among 10^13 shingles those of some 50 000 documents, which can't make lists longer than that.
 
 Prefix.  With n shingles, a link needs a = ceil(80 n / 100) common ones.  So of the first n - a + l
 shingles of either document at least l are shared, for any l up to a.  Each document chooses
@@ -45,13 +49,16 @@ from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BooleanType
 
-from .common import discard, drop_rows, join_bytes, materialize, merge_dense, mix, space_words, text_slices, tidied, word_hashes
+from .common import discard, drop_rows, join_bytes, materialize, merge_dense, mix, small_batches, space_words, text_slices, tidied, word_hashes
 
 WORDS = 5
 #: The threshold as a share of 100.
 SHARE = 80
 WIDTH = 1 << 18
 CHUNKS = 8
+STANDS_OUT = 6.0
+#: Postings of a shingle that one task gets; those of a shingle in more documents are dealt by set.
+HOT = 50_000
 MAX_MATCHES = 6
 BLOOM_BITS_MAX = 1 << 28
 _Q = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -91,16 +98,12 @@ def _short(w: np.ndarray) -> np.uint64:
     return mix(h + np.uint64(len(w)))[0]
 
 
-def set_ids(d: np.ndarray, h: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Size, and a 64-bit and a second hash of each set (both 0 for empty ones)."""
+def set_ids(d: np.ndarray, h: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Size and 64-bit hash of each set (0 for empty ones)."""
     n = np.bincount(d, minlength=n_docs)
-    out = []
-    for q in (_Q[0], _Q[3]):
-        m = mix(h + q)
-        c = np.concatenate([[np.uint64(0)], np.cumsum(m, dtype=np.uint64)])
-        ends = np.cumsum(n)
-        out.append(np.where(n > 0, mix(c[ends] - c[ends - n] + n.astype(np.uint64)), np.uint64(0)))
-    return n, out[0], out[1]
+    c = np.concatenate([[np.uint64(0)], np.cumsum(mix(h + _Q[0]), dtype=np.uint64)])
+    ends = np.cumsum(n)
+    return n, np.where(n > 0, mix(c[ends] - c[ends - n] + n.astype(np.uint64)), np.uint64(0))
 
 
 def slots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +111,13 @@ def slots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h & np.uint64(WIDTH - 1)).astype(np.int64), ((h >> np.uint64(32)) & np.uint64(WIDTH - 1)).astype(np.int64) + WIDTH
 
 
-_SCAN = "doc_id {kind}, n long, sid long, sid2 long, chunk int, part int, data binary"
+def usual(sketch: np.ndarray) -> tuple[float, float]:
+    """What a counter holds by chance, and the deviation from it above which a count tells something."""
+    middle = float(np.median(sketch))
+    return middle, max(2.0, STANDS_OUT * 1.4826 * float(np.median(np.abs(sketch - middle))))
+
+
+_SCAN = "doc_id {kind}, n long, sid long, chunk int, part int, data binary"
 
 
 def _scan(kind: pa.DataType):
@@ -123,23 +132,23 @@ def _scan(kind: pa.DataType):
             parts = []
             for _, texts in text_slices(b.column("text")):
                 d, h = shingles(texts)
-                n, s1, s2 = set_ids(d, h, len(texts))
-                parts.append((n, s1, s2))
+                n, sid = set_ids(d, h, len(texts))
+                parts.append((n, sid))
                 # Copies of a set within a task count once.
                 fresh = np.zeros(len(texts), bool)
-                for i, s in enumerate(s1.tolist()):
+                for i, s in enumerate(sid.tolist()):
                     if s not in seen:
                         seen.add(s)
                         fresh[i] = True
                 for x in slots(h[fresh[d]]):
                     sketch += np.bincount(x, minlength=2 * WIDTH).astype(np.uint32)
-            n, s1, s2 = (np.concatenate([p[k] for p in parts] or [np.zeros(0, np.uint64)]) for k in range(3))
+            n, sid = (np.concatenate([p[k] for p in parts] or [np.zeros(0, np.uint64)]) for k in range(2))
             none = pa.nulls(len(b), pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), none, none, pa.nulls(len(b), pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(sid.view(np.int64)), none, none, pa.nulls(len(b), pa.binary())], names=names)
         size, part = 2 * WIDTH // CHUNKS, TaskContext.get().partitionId()
         for c in range(CHUNKS):
             none = pa.nulls(1, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), none, none, none, pa.array([c], pa.int32()), pa.array([part], pa.int32()), pa.array([sketch[c * size : (c + 1) * size].tobytes()], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), none, none, pa.array([c], pa.int32()), pa.array([part], pa.int32()), pa.array([sketch[c * size : (c + 1) * size].tobytes()], pa.binary())], names=names)
 
     return run
 
@@ -165,27 +174,28 @@ def choose(counts: np.ndarray, n: int) -> int:
 
 
 def _prefixes(shared):
-    """Pass 2: (token, sid, meta) for the prefix of each set; a set once a task.
+    """Pass 2: (token, salt, sid, meta) for the prefix of each set; a set once a task.
 
     meta packs the set's size (29 bits), the shingle's place in the prefix from 1 (30 bits) and l (4 bits).
+    salt deals the postings of a shingle with more than ``HOT`` of them by set; it is -1 for the others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.frombuffer(shared.value, np.uint32)
-        noise = max(0, int(np.median(sketch)))
+        noise, least = usual(sketch)
         seen: set[int] = set()
         for b in batches:
             for _, texts in text_slices(b.column("text")):
                 d, h = shingles(texts)
-                n, sid, _ = set_ids(d, h, len(texts))
+                n, sid = set_ids(d, h, len(texts))
                 x, y = slots(h)
-                count = np.maximum(np.minimum(sketch[x], sketch[y]).astype(np.int64) - noise, 1)
-                # Counts near the noise say nothing: those shingles go by hash.
-                rank = np.where(count <= max(2, noise // 4), 1, count)
+                count = np.minimum(sketch[x], sketch[y]) - noise
+                # Counts that chance explains say nothing: those shingles go by hash.
+                rank = np.where(count <= least, 1, count).astype(np.int64)
                 order = np.lexsort((h, rank, d))
                 h, rank = h[order], rank[order]
                 ends = np.cumsum(n)
-                tok, own, meta = [], [], []
+                tok, own, meta, often = [], [], [], []
                 for i in range(len(texts)):
                     s, k = int(sid[i]), int(n[i])
                     if not k or s in seen:
@@ -195,10 +205,13 @@ def _prefixes(shared):
                     m = choose(rank[at : at + k], k)
                     length = k - -(-SHARE * k // 100) + m
                     tok.append(h[at : at + length])
+                    often.append(rank[at : at + length])
                     own.append(np.full(length, s, np.uint64))
                     meta.append((k << 34) | (np.arange(1, length + 1, dtype=np.int64) << 4) | m)
                 if tok:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tok).view(np.int64)), pa.array(np.concatenate(own).view(np.int64)), pa.array(np.concatenate(meta))], names=["token", "sid", "meta"])
+                    own, often = np.concatenate(own), np.concatenate(often)
+                    salt = np.where(often > HOT, (mix(own) % (often // HOT + 1).astype(np.uint64)).astype(np.int64), -1).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tok).view(np.int64)), pa.array(salt), pa.array(own.view(np.int64)), pa.array(np.concatenate(meta))], names=["token", "salt", "sid", "meta"])
 
     return run
 
@@ -250,7 +263,7 @@ def _sets(shared):
         for b in batches:
             for _, texts in text_slices(b.column("text")):
                 d, h = shingles(texts)
-                n, sid, _ = set_ids(d, h, len(texts))
+                n, sid = set_ids(d, h, len(texts))
                 keep = n > 0
                 for s in _bloom_slots(sid, bits):
                     keep &= (have[s >> 3] >> (7 - (s & 7)) & 1).astype(bool)
@@ -288,14 +301,13 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     if not n:
         return spark.createDataFrame([], "a long, b long")
     sets = docs.select("text").mapInArrow(tidied(_sets(_bloom(keys, n, spark))), "sid long, data binary")
-    sets = materialize(sets, "jaccard-sets")
-    # One copy of each set, as tasks may send copies: the first, without sorting whole sets.
-    one = sets.groupBy("sid").agg(F.first("data").alias("data"))
+    # One copy of each set, as tasks may send copies.
+    one = materialize(sets.groupBy("sid").agg(F.first("data").alias("data")), "jaccard-sets")
     left = one.select(F.col("sid").alias("a"), F.col("data").alias("set_a"))
     right = one.select(F.col("sid").alias("b"), F.col("data").alias("set_b"))
     met = pairs.select("a", "b").join(left, "a").join(right, "b")
     out = materialize(met.where(_linked("set_a", "set_b")).select("a", "b"), "jaccard-links")
-    discard(sets, keys)
+    discard(one, keys)
     return out
 
 
@@ -308,38 +320,45 @@ def components(links: DataFrame) -> DataFrame:
     Every round is one table in the scratch folder.  A star's centre may have any number of
     neighbours: they are never gathered, only their minimum is.
     """
-    edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "stars")
-    previous = None
+    edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "stars", merge=False)
     while True:
-        # Large star: neighbours above a node go to the smallest of its neighbourhood.
+        # Done when every node has one edge down, to a node without any.
+        deep = edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
+        if not deep.take(1) and not edges.groupBy("u").agg(F.min("v").alias("x"), F.max("v").alias("y")).where("x <> y").take(1):
+            break
         before = edges
+        # Large star: neighbours above a node go to the smallest of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.distinct(), "stars")
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: neighbours below a node, and itself, go to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         edges = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v")))
-        edges = materialize(edges.distinct(), "stars")
-        discard(large, before)
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if now == previous:
-            break
-        previous = now
+        edges = materialize(edges.distinct(), "stars", merge=False)
+        discard(before)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(edges.select("v", "v").distinct().toDF("node", "comp"))
 
 
+def joined_components(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, comp) after more ``links`` (a, b): only the components that these touch are worked on."""
+    a, b = comp.toDF("a", "ca"), comp.toDF("b", "cb")
+    between = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    top = materialize(components(between), "jaccard-components", merge=False)
+    moved = comp.join(top.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    return moved.unionByName(top.join(comp, "node", "left_anti"))
+
+
 # ---------------------------------------------------------------- the operator
 
 
 def _read(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """The classes' table, a row a document (doc_id, n, sid, sid2), and the sketch's parts."""
+    """The classes' table, a row a document (doc_id, n, sid), and the sketch's parts."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType
     schema = _SCAN.format(kind=kind.simpleString())
     scanned = materialize(rows.mapInArrow(tidied(_scan(to_arrow_type(kind))), schema), "jaccard-scan")
-    return scanned.where("chunk is null").select("doc_id", "n", "sid", "sid2"), scanned.where("chunk is not null").select("chunk", "part", "data")
+    return scanned.where("chunk is null").select("doc_id", "n", "sid"), scanned.where("chunk is not null").select("chunk", "part", "data")
 
 
 def _matched(met: DataFrame) -> DataFrame:
@@ -359,7 +378,7 @@ def _matched(met: DataFrame) -> DataFrame:
 def _postings(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Documents with their classes, and the postings (token, sid, n, l, pos, k) of classes that may link."""
     spark = docs.sparkSession
-    text = docs.select(F.col(text_col).alias("text"))
+    text = small_batches(docs).select(F.col(text_col).alias("text"))
     members, parts = _read(docs, id_col, text_col)
     n_parts = parts.agg(F.max("part")).first()[0]
     chunks = {r["chunk"]: r["data"] for r in merge_dense(parts, (n_parts or 0) + 1).collect()}
@@ -369,14 +388,16 @@ def _postings(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, D
     # Postings of shingles that two classes share at least, of classes that share enough of them for
     # the least l in their lists: a pair needs the smaller of its two, so a class's own l is too strict.
     # A copy of a set that two tasks sent has equal ids, so it doesn't make a shingle shared.
-    postings = text.mapInArrow(tidied(_prefixes(sketch)), "token long, sid long, meta long").repartition("token")
-    whole = W.partitionBy("token")
+    # What a hot shingle's sets ask for isn't gathered: all its postings stay, and 1 counts as the least l.
+    postings = text.mapInArrow(tidied(_prefixes(sketch)), "token long, salt int, sid long, meta long").repartition("token", "salt")
+    whole = W.partitionBy("token", "salt")
     own_l = F.col("meta").bitwiseAND(15).cast("int")
-    postings = postings.withColumn("lo", F.min("sid").over(whole)).withColumn("hi", F.max("sid").over(whole)).withColumn("low", F.min(own_l).over(whole)).where("lo <> hi")
-    shared = postings.select("token", "sid", F.shiftright("meta", 34).alias("n"), own_l.alias("l"), "low", F.shiftright("meta", 4).bitwiseAND((1 << 30) - 1).alias("pos"))
-    shared = materialize(shared.dropDuplicates(["token", "sid"]), "jaccard-postings")
+    postings = postings.withColumn("lo", F.min("sid").over(whole)).withColumn("hi", F.max("sid").over(whole)).withColumn("low", F.min(own_l).over(whole)).where("salt >= 0 or lo <> hi")
+    low = F.when(F.col("salt") >= 0, 1).otherwise(F.col("low")).alias("low")
+    shared = postings.dropDuplicates(["token", "salt", "sid"]).select("token", "sid", F.shiftright("meta", 34).alias("n"), own_l.alias("l"), low, F.shiftright("meta", 4).bitwiseAND((1 << 30) - 1).alias("pos"))
+    shared = materialize(shared, "jaccard-postings", merge=False)
     able = shared.groupBy("sid").agg(F.count("*").alias("k"), F.min("low").alias("low")).where("k >= low")
-    postings, shared = shared, materialize(shared.drop("low").join(able.select("sid", "k"), "sid"), "jaccard-able")
+    postings, shared = shared, materialize(shared.drop("low").join(able.select("sid", "k"), "sid"), "jaccard-able", merge=False)
     discard(postings)
     return members, shared
 
@@ -411,27 +432,27 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     # Round 1: a star around one class of each list, the one that shares the most of its prefix.
     centre = F.struct((F.col("k") * 1000 / (F.col("n") - F.ceil(F.col("n") * SHARE / 100) + F.col("l"))).cast("long").alias("share"), "sid", "n", "l", "pos")
     stars = shared.groupBy("token").agg(F.max(centre).alias("c")).select("token", F.col("c.sid").alias("b"), F.col("c.n").alias("m"), F.col("c.l").alias("l2"), F.col("c.pos").alias("pos2"))
-    star = materialize(_matched(shared.withColumnRenamed("sid", "a").join(stars, "token").where("a <> b")), "jaccard-pairs")
+    star = materialize(_matched(shared.withColumnRenamed("sid", "a").join(stars, "token").where("a <> b")), "jaccard-pairs", merge=False)
     first = _verify(star, text)
-    comp = materialize(components(first), "jaccard-components")
+    comp = materialize(components(first), "jaccard-components", merge=False)
 
     # Round 2: all pairs of a list that lie in different components.
     own = shared.join(comp.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    own = materialize(own, "jaccard-open")
+    own = materialize(own, "jaccard-open", merge=False)
     mixed = own.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
-    opened, own = own, materialize(own.join(mixed, "token", "left_semi"), "jaccard-mixed")
+    opened, own = own, materialize(own.join(mixed, "token", "left_semi"), "jaccard-mixed", merge=False)
     discard(opened, shared)
     other = own.select("token", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("l").alias("l2"), F.col("pos").alias("pos2"), F.col("comp").alias("comp_b"))
     pairs = _matched(own.withColumnRenamed("sid", "a").join(other, "token").where("comp < comp_b"))
     tried = star.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(star.select(F.col("b").alias("x"), F.col("a").alias("y")))
     pairs = pairs.join(tried, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
-    pairs = materialize(pairs, "jaccard-pairs")
+    pairs = materialize(pairs, "jaccard-pairs", merge=False)
     discard(own, star)
     second = _verify(pairs, text)
-    found = first.unionByName(second)
+    discard(pairs)
     if second.take(1):
-        comp = materialize(components(found), "jaccard-components")
-    return members, found, comp
+        comp = materialize(joined_components(comp, second), "jaccard-components", merge=False)
+    return members, first.unionByName(second), comp
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -440,7 +461,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     full = members.where("n > 0")
     classes = full.groupBy("sid").agg(F.min("doc_id").alias("low"))
     named = classes.join(comp.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    named = materialize(named, "jaccard-named")
+    named = materialize(named, "jaccard-named", merge=False)
     lowest = named.groupBy("comp").agg(F.min("low").alias("component_id"))
     named = named.join(lowest, "comp").select("sid", "component_id")
     out = full.join(named, "sid").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
@@ -451,10 +472,11 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id (a null id comes last), in its own columns."""
     # Rows are known by id and text: an id may be null or stand for other texts as well.
-    mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), mark.alias("mark"))
-    found = materialize(groups(docs.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text"), "jaccard-groups")
-    rows = found.select(F.col("doc_id.id").alias("__id"), F.col("doc_id.mark").alias("__mark"), F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "n_shingles")
-    again = rows.where("kept and n_shingles > 0").groupBy("__id", "__mark").count().where("count > 1").drop("count")
-    again = materialize(again, "jaccard-repeated")
-    return drop_rows(docs, rows.where("not kept").select("__id", "__mark"), again, mark, id_col, text_col)
+    text = F.col(f"`{text_col}`")
+    mark = F.xxhash64(F.coalesce(text, F.lit("")))
+    key = F.struct(F.col(f"`{id_col}`").isNull().alias("no_id"), F.col(f"`{id_col}`").alias("id"), mark.alias("mark"))
+    found = materialize(groups(docs.select(key.alias("key"), text.alias("text")), "key", "text"), "jaccard-groups", merge=False)
+    rows = found.select(F.col("doc_id.id").alias("id"), F.col("doc_id.mark").alias("mark"), F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "n_shingles")
+    again = rows.where("kept and n_shingles > 0").groupBy("id", "mark").count().where("count > 1").drop("count")
+    again = materialize(again, "jaccard-repeated", merge=False)
+    return drop_rows(docs, rows.where("not kept").select("id", "mark"), again, mark, id_col, text_col)

@@ -345,6 +345,40 @@ def test_copies_are_dropped_by_row(spark):
     assert Counter((r.doc_id, r.text) for r in ngram_join.drop_near_copies(near).collect()) == Counter([(5, x + " more"), (1, y), (0, z + " more")])
 
 
+CLASHES = ["__drop", "__again", "__norm", "__own", "__own_", "__id", "__mark", "__rank", "__more", "contamination", "__contamination", "toxicity", "__toxicity", "len", "prefix", "norm", "sha", "same", "n"]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    base = " ".join(f"b{i}" for i in range(40))
+    texts = [base, base + " ", base + " c", "one two", None, "x y z"]
+    docs = spark.createDataFrame([(i, t, *[f"{c}{i}" for c in CLASHES]) for i, t in enumerate(texts)], ", ".join(["doc_id long", "text string", *[f"`{c}` string" for c in CLASHES]]))
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, "one two"), (2, "one two")], "item_id long, text string")
+    stages = {
+        exact_dedup.drop_copies: {1, 2, 3, 4, 5},
+        ngram_join.drop_near_copies: {0, 3, 4, 5},
+        lambda d: toxicity.drop_toxic(d, labels): set(range(6)),
+        lambda d: decontam.drop_contaminated(d, bench): {0, 1, 2, 4, 5},
+    }
+    for stage, want in stages.items():
+        left = stage(docs)
+        assert left.columns == docs.columns
+        rows = left.collect()
+        assert {x.doc_id for x in rows} == want and all(x[c] == f"{c}{x.doc_id}" for x in rows for c in CLASHES)
+    marked = decontam.mark(docs, bench, block_bytes=1)
+    assert marked.columns[: len(docs.columns)] == docs.columns and len(marked.columns) == len(docs.columns) + 1
+    assert common.fresh(["A", "a_"], "a", "b", "b") == ["a__", "b", "b_"]
+
+
+def test_long_lists_of_lost_rows_are_shuffled(spark):
+    docs = docs_of(spark, ["a", "b", "b", "c", None], ids=[1, 2, 2, None, None])
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    key = docs.select(F.col("doc_id").alias("id"), mark.alias("mark"), "text")
+    for limit in (0, 100):
+        left = common.drop_rows(docs, key.where("text = 'a' or text is null").drop("text"), key.where("text = 'b'").drop("text"), mark, broadcast_rows=limit)
+        assert Counter((x.doc_id, x.text) for x in left.collect()) == Counter([(2, "b"), (None, "c")])
+
+
 # ---------------------------------------------------------------- 8: shards
 
 
@@ -437,6 +471,54 @@ def test_ngram_join_of_a_widespread_passage(spark):
     assert n == 4 and got == want
 
 
+def test_ngram_join_of_a_text_and_its_extensions(spark):
+    # 80 shingles against 100: the smaller set asks for more matches than any larger one gives it.
+    base = [f"w{i}" for i in range(84)]
+    texts = [" ".join(base), *(" ".join(base + [f"b{k}u{i}" for i in range(20)]) for k in range(14))]
+    rows = ngram_join.groups(docs_of(spark, texts)).collect()
+    assert {tuple(x) for x in rows} == {(i, 100 if i else 80, 0) for i in range(15)}
+
+
+def small_corpora(r, n):
+    """Corpora of variants with words of their own: extended, cut, changed, or a shared passage between others."""
+    texts, want = [], Counter()
+    for c in range(n):
+        word = lambda c=c: f"c{c}_{r.randrange(60)}"
+        new = lambda n, c=c: [f"c{c}n{r.randrange(10**9)}" for _ in range(n)]
+        base, own = [word() for _ in range(r.randrange(5, 130))], []
+        for _ in range(r.randrange(2, 16)):
+            t = list(base)
+            for _ in range(r.choice([0, 0, 1, 1, 2, 4])):
+                t[r.randrange(len(t))] = r.choice([word(), *new(1)])
+            t = t[r.randrange(3) :] if r.random() < 0.3 else t
+            t += new(r.choice([0, 0, 1, len(base) // 5, len(base) // 4, len(base) // 3]))
+            if r.random() < 0.2:
+                t = new(r.randrange(40)) + t + new(r.randrange(40))
+            own.append(" ".join(t))
+        ids = list(range(len(texts), len(texts) + len(own)))
+        want += jaccard_groups(own, ids)[0]
+        texts += own
+    return texts, want
+
+
+@pytest.mark.parametrize("hot", [ngram_join.HOT, 2])
+def test_ngram_join_of_many_small_corpora(spark, monkeypatch, hot):
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    monkeypatch.setattr(ngram_join, "WIDTH", 1 << 12)  # crowded counters
+    texts, want = small_corpora(random.Random(41 + hot), 60)
+    got = Counter(tuple(x) for x in ngram_join.groups(docs_of(spark, texts)).collect())
+    assert got == want and len({c for *_, c in want}) < len(texts) - 50
+
+
+def test_what_stands_out_of_a_crowded_sketch():
+    r = np.random.default_rng(3)
+    sketch = r.poisson(10_000, 1 << 16).astype(np.uint32)
+    middle, least = ngram_join.usual(sketch)
+    assert abs(middle - 10_000) < 20 and 400 < least < 1000
+    assert (sketch - middle > least).sum() < 5
+    assert ngram_join.usual(np.zeros(64, np.uint32)) == (0.0, 2.0)
+
+
 def test_ngram_join_counts_all_links(spark):
     r = random.Random(8)
     texts = [None, "", "a b c", "a B c"]
