@@ -18,19 +18,20 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, revive, share, tidy
+from .common import ALNUM, fresh, materialize, revive, share, small_batches, tidied, tidy
 
 WINDOW = 8
-#: Bytes of benchmark text in one automaton.  A larger benchmark is matched in blocks of this size.
-BLOCK_BYTES = 16_000_000
+#: Bytes of benchmark text in one automaton, which takes some 200 times that in each worker.  A larger
+#: benchmark is matched block by block.
+BLOCK_BYTES = 2_000_000
 _WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _UPPER = {c: c + 32 for c in range(65, 91)}
 
+RUNS = "n_words long, item_ids array<string>, runs array<struct<first:int,last:int,start:int,end:int>>, full_window boolean"
 REPORT = "n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>, full_window boolean"
 
 
@@ -59,6 +60,8 @@ class Automaton:
     def ready(self) -> Automaton:
         """Built where it is used: the machine itself isn't sent."""
         if self.machine is None and self.keys:
+            import ahocorasick
+
             self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
             for i, key in enumerate(self.keys):
                 self.machine.add_word(key, i)
@@ -96,21 +99,44 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, limit: int) -> Ite
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with a struct column ``contamination`` (see REPORT); no shuffle.
+    """``docs`` with a struct column ``contamination`` (see REPORT), named longer if ``docs`` has one.
 
-    The benchmark comes to the driver in blocks of ``block_bytes``; each block is one
-    automaton, broadcast, and all documents stream past it.  A second and later block only
-    adds to what the first found, so the result doesn't depend on the block size.
+    A benchmark of one block is one automaton, broadcast, past which all documents stream; nothing is
+    shuffled.  A larger one comes to the driver block by block: documents get row numbers, each
+    block has a pass of its own that reports the documents it hits, and the reports on a document
+    are united.  The result doesn't depend on the block size.
     """
-    spark = docs.sparkSession
-    clash = next(c for c in ("contamination", "__contamination") if c not in docs.columns)
-    out = docs
-    for n, block in enumerate(_blocks(benchmark, item_col, item_text_col, block_bytes)):
-        found = _reporter(share(spark, Automaton(block, window)))(F.col(text_col))
-        out = out.withColumn(clash if n == 0 else "__more", found)
-        if n:
-            out = out.withColumn(clash, F.pandas_udf(_join_reports, REPORT)(F.col(clash), F.col("__more"), F.col(text_col))).drop("__more")
-    return out.withColumnRenamed(clash, "contamination")
+    (name,) = fresh(docs.columns, "contamination")
+    blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
+    one, more = next(blocks), next(blocks, None)
+    spark = small_batches(docs).sparkSession
+    text = F.col(f"`{text_col}`")
+    if more is None:
+        return docs.withColumn(name, _reporter(share(spark, Automaton(one, window)))(text))
+    (row,) = fresh([*docs.columns, name], "__row")
+    keyed = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "decontam-rows", merge=False)
+    parts = []
+    while one is not None:
+        machine = share(spark, Automaton(one, window))
+        found = keyed.select(F.col(row).alias("row"), text.alias("text")).mapInPandas(tidied(_pass(machine, not parts)), f"row long, {RUNS}")
+        parts.append(materialize(found, "decontam-hits"))
+        machine.destroy()
+        one, more = more, next(blocks, None)
+    whole = parts[0]
+    for x in parts[1:]:
+        whole = whole.unionByName(x)
+    merged = whole.groupBy("row").agg(F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.flatten(F.collect_list("runs")).alias("runs"), F.max("full_window").alias("full_window"))
+    united = F.pandas_udf(_united, "n_hit long, spans array<struct<start:int,end:int>>")(F.col("runs"))
+    merged = merged.withColumn("u", united).select(F.col("row").alias(row), F.struct("n_words", F.col("u.n_hit").alias("n_hit"), "item_ids", F.col("u.spans").alias("spans"), "full_window").alias(name))
+    return keyed.join(merged, row).select(*[F.col(f"`{c}`") for c in docs.columns], name)
+
+
+def _report(m: Automaton, t: str | None) -> tuple:
+    """As RUNS: words, items, runs of hit words with their offsets, and whether a full window was hit."""
+    found = words(t)
+    runs, items, full = m.scan(found)
+    at = [x.span() for x in _WORD.finditer(t.translate(_UPPER))] if runs else []
+    return len(found), sorted(items), [(a, b, at[a][0], at[b - 1][1]) for a, b in runs], full
 
 
 def _reporter(machine):
@@ -119,30 +145,38 @@ def _reporter(machine):
         for batch in text:
             rows = []
             for t in batch:
-                found = words(t)
-                runs, items, full = m.scan(found)
-                at = [x.span() for x in _WORD.finditer(t.translate(_UPPER))] if runs else []
-                rows.append((len(found), sum(b - a for a, b in runs), sorted(items), [(at[a][0], at[b - 1][1]) for a, b in runs], full))
+                n, items, runs, full = _report(m, t)
+                rows.append((n, sum(b - a for a, b, *_ in runs), items, [x[2:] for x in runs], full))
             yield pd.DataFrame(rows, columns=["n_words", "n_hit", "item_ids", "spans", "full_window"])
         tidy()
 
     return F.pandas_udf(report, REPORT)
 
 
-def _join_reports(a: pd.DataFrame, b: pd.DataFrame, text: pd.Series) -> pd.DataFrame:
-    """Two reports on the same text: spans are united and words counted again."""
+def _pass(machine, every: bool):
+    """Rows of the documents that a block hits, or of every document."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = revive(Automaton, machine.value).ready()
+        for b in batches:
+            rows = [(row, *_report(m, t)) for row, t in zip(b["row"], b["text"], strict=True)]
+            yield pd.DataFrame([x for x in rows if every or x[3]], columns=["row", "n_words", "item_ids", "runs", "full_window"])
+
+    return run
+
+
+def _united(runs: pd.Series) -> pd.DataFrame:
+    """Overlapping runs of hit words become one."""
     rows = []
-    for i in range(len(a)):
-        spans = []
-        for s in sorted([(x["start"], x["end"]) for x in a["spans"][i]] + [(x["start"], x["end"]) for x in b["spans"][i]]):
-            if spans and s[0] <= spans[-1][1]:
-                spans[-1] = (spans[-1][0], max(s[1], spans[-1][1]))
+    for found in runs:
+        out = []
+        for a, b, start, end in sorted((x["first"], x["last"], x["start"], x["end"]) for x in found):
+            if out and a <= out[-1][1]:
+                out[-1] = (out[-1][0], max(b, out[-1][1]), out[-1][2], max(end, out[-1][3]))
             else:
-                spans.append(s)
-        low = (text[i] or "").translate(_UPPER)
-        hit = sum(len(_WORD.findall(low[x:y])) for x, y in spans)
-        rows.append((a["n_words"][i], hit, sorted({*a["item_ids"][i], *b["item_ids"][i]}), spans, bool(a["full_window"][i] or b["full_window"][i])))
-    return pd.DataFrame(rows, columns=["n_words", "n_hit", "item_ids", "spans", "full_window"])
+                out.append((a, b, start, end))
+        rows.append((sum(b - a for a, b, *_ in out), [x[2:] for x in out]))
+    return pd.DataFrame(rows, columns=["n_hit", "spans"])
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -161,8 +195,9 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without a full benchmark window and with windows of one item at most."""
-    c = F.col("contamination")
-    return mark(docs, benchmark).where(~(c["full_window"] | (F.size(c["item_ids"]) >= 2))).select(*[F.col(f"`{x}`") for x in docs.columns])
+    marked = mark(docs, benchmark)
+    c = F.col(marked.columns[-1])
+    return marked.where(~(c["full_window"] | (F.size(c["item_ids"]) >= 2))).select(*[F.col(f"`{x}`") for x in docs.columns])
 
 
 def brute_force(texts: dict, items: dict, window: int = WINDOW) -> dict:

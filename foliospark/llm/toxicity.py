@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, revive, share, tidied, tidy
+from .common import crc_mod, fresh, revive, share, small_batches, tidied, tidy
 
 
 @dataclass(frozen=True)
@@ -196,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.sample)
     # At most ``sample`` rows of two numbers: bounded, so broadcast.
-    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    sample = small_batches(docs).select("doc_id", "text").join(F.broadcast(known), "doc_id")
     learn, check = sample.where(fold != params.folds - 1), sample.where(fold == params.folds - 1)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -304,5 +304,5 @@ def score(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Data
 def drop_toxic(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> DataFrame:
     """``docs`` without the documents that are predicted toxic, in its own columns."""
     model = train(docs, labels, params)
-    clash = next(c for c in ("toxicity", "__toxicity") if c not in docs.columns)
+    (clash,) = fresh(docs.columns, "toxicity")
     return docs.withColumn(clash, annotate(docs, model)).where(F.col(clash)["score"] < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
