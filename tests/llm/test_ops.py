@@ -91,19 +91,82 @@ def test_url_rules(spark):
 def test_segments_are_maximal():
     r = random.Random(5)
     for _ in range(200):
-        x = [r.choice([-3, -1, -0.5, 1, 2, 4]) for _ in range(r.randrange(1, 14))]
-        got = sorted((a, b, round(s, 6)) for a, b, s in toxicity.segments(list(enumerate(x)), 0.5))
-
-        def find(lo, hi, x=x):
-            best = max(((sum(x[a:b]), -(b - a), -a, a, b) for a in range(lo, hi) for b in range(a + 1, hi + 1)), default=None)
-            if best is None or best[0] <= 0:
-                return []
-            *_, a, b = best
-            return [*find(lo, a), (a, b - 1, round(best[0], 6)), *find(b, hi)]
-
-        want = sorted(find(0, len(x)))
-        assert sum(s for *_, s in got) == pytest.approx(sum(s for *_, s in want)), (x, got, want)
-        assert max([s for *_, s in got], default=0) == max([s for *_, s in want], default=0)
+        x = [r.choice([-3, -1, -0.5, 1, 2, 4]) + r.random() / 7 for _ in range(r.randrange(1, 18))]
+        got = [(a, b, round(s, 6)) for a, b, s in toxicity.segments(list(enumerate(x)), 0.5)]
+        assert got == brute_segments(x), x
+
+
+def brute_segments(x):
+    """The best run, then the best on either side of it, and so on."""
+
+    def find(lo, hi):
+        best = max(((sum(x[a:b]), -(b - a), -a, a, b) for a in range(lo, hi) for b in range(a + 1, hi + 1)), default=None)
+        if best is None or best[0] <= 0:
+            return []
+        *_, a, b = best
+        return [*find(lo, a), (a, b - 1, round(best[0], 6)), *find(b, hi)]
+
+    return find(0, len(x))
+
+
+def test_toxicity_against_brute_force(spark):
+    """Weights, calibration, passages and scores of a small table, each computed again the long way."""
+    r = random.Random(37)
+    good, bad = [f"{a}{b}x" for a in "abcdefgh" for b in "mnopq"], ["zzidiotic", "zzidiots", "vile", "scum"]
+    texts = [" ".join([r.choice(good) for _ in range(r.randrange(5, 60))] + [r.choice(bad) for _ in range(5 if i % 4 == 0 else 0)] + [r.choice(good) for _ in range(9)]) for i in range(400)]
+    toxic = [int(i % 4 == 0) for i in range(400)]
+    fold = [zlib.crc32(str(i).encode()) % 5 for i in range(400)]
+    params = toxicity.Params()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    m = toxicity.train(docs, spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int"))
+
+    n = Counter(), Counter()
+    for t, y, f in zip(texts, toxic, fold, strict=True):
+        if f in (1, 2, 3):
+            n[y].update(set(t.split()))
+    vocabulary = {*n[0], *n[1]}
+    owns = {w + "$": [w] for w in vocabulary}
+    for w in vocabulary:
+        for k in range(4, min(8, len(w)) + 1):
+            owns.setdefault(w[:k], []).append(w)
+    scored = {}
+    for f, ws in owns.items():
+        n1, n0 = (sum(c[w] for w in ws) for c in (n[1], n[0]))
+        if n1 + n0 >= params.min_support and len(ws) < len(vocabulary):
+            a, b = (x + params.prior * len(ws) for x in (n1, n0))
+            rest = [sum(c.values()) + params.prior * len(vocabulary) for c in (n[1], n[0])]
+            delta = math.log(a / (rest[0] - a)) - math.log(b / (rest[1] - b))
+            scored[f] = delta, delta / math.sqrt(1 / a + 1 / b)
+    want = {f: w for f, (w, z) in scored.items() if abs(z) >= params.z_min and (f.endswith("$") or abs(w) >= params.prefix_min)}
+    # Neutral words under a kept prefix.
+    want |= {f: 0.0 for f, (w, _) in scored.items() if f.endswith("$") and f not in want and w <= 1 and any(f[:-1].startswith(p) for p in want if not p.endswith("$"))}
+    assert m.weights.keys() == want.keys() and all(m.weights[f] == pytest.approx(w) for f, w in want.items()) and "zzid" in want
+
+    def weights(t):
+        out, seen = [], []
+        for i, w in enumerate(t.split()):
+            x = next((want[f] for f in [w + "$", *(w[:k] for k in range(8, 3, -1) if len(w) >= k)] if f in want), 0.0)
+            if x > 0:
+                x /= 1 + sum(v == w and i - j < params.window for j, v in seen)
+                seen.append((i, w))
+            out.append(x - params.cost)
+        return out
+
+    quiet = [weights(t) for t, y, f in zip(texts, toxic, fold, strict=True) if f == 4 and not y]
+    tokens = sum(map(len, quiet))
+    assert m.k == pytest.approx((sum(len(brute_segments(x)) for x in quiet) + 1) / (tokens + 1000))
+    seen = Counter(round(x, 1) for q in quiet for x in q)
+    total = (sum(c * math.exp(x * m.lam) for x, c in seen.items()) + math.exp(-params.cost * m.lam) + math.exp(5 * m.lam)) / (tokens + 2)
+    assert total == pytest.approx(1, abs=1e-6) or (m.lam == 2.0 and total <= 1)
+    scores = {x.doc_id: x.t for x in docs.select("doc_id", toxicity.annotate(docs, m).alias("t")).collect()}
+    for i, t in enumerate(texts):
+        found = [(a, b, s, m.k * len(t.split()) * math.exp(-m.lam * s)) for a, b, s in brute_segments(weights(t))]
+        found = [x for x in found if x[3] <= params.e_max]
+        at = [x.span() for x in re.finditer(r"\S+", t)]
+        assert [(p.start, p.end) for p in scores[i].passages] == [(at[a][0], at[b][1]) for a, b, *_ in found]
+        x = math.log1p(sum(-math.log(e) for *_, e in found)), math.log1p(len(found))
+        assert scores[i].score == pytest.approx(1 / (1 + math.exp(-(m.curve[0] + m.curve[1] * x[0] + m.curve[2] * x[1]))), abs=1e-4)
+        assert (scores[i].score >= 0.5) == bool(toxic[i])
 
 
 def test_toxicity_on_held_out_rows(spark):
