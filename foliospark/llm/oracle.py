@@ -58,6 +58,16 @@ OP7 = """WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_r
 g AS (SELECT *, count(*) OVER (PARTITION BY norm) AS group_size, first_value(doc_id) OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS keep_id FROM n)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g"""
 
+# DuckDB has no crc32: a table of the polynomial's remainders, then byte by byte.
+_CRC = "list_transform(range(256), lambda i: list_reduce(range(8), lambda c, j: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i::BIGINT))"
+OP8 = f"""WITH k AS (SELECT {_CRC} AS rest), d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), b AS (SELECT doc_id, md5(t) AS h, strlen(t) + 1 AS size, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes FROM d),
+r AS (SELECT doc_id, h, size, xor(list_reduce(bytes, lambda c, x: xor(c // 256, rest[xor(c, x) % 256 + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS text_crc32 FROM b, k),
+o AS (SELECT *, sum(size) OVER (ORDER BY h, doc_id) - size AS before, sum(size) OVER () AS total FROM r),
+s AS (SELECT *, least(7, floor((before + size / 2.0) * 8 / total)) AS own, sum(size) OVER (PARTITION BY h) AS together, min(before) OVER (PARTITION BY h) AS since FROM o),
+m AS (SELECT *, CASE WHEN together <= 0.01 * total / 8 THEN least(7, floor((since + together / 2.0) * 8 / total)) ELSE own END AS moved, min(own) OVER (PARTITION BY h) <> max(own) OVER (PARTITION BY h) AS across FROM s)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, (CASE WHEN across THEN moved ELSE own END)::INT AS shard, row_number() OVER (PARTITION BY CASE WHEN across THEN moved ELSE own END ORDER BY h, doc_id) - 1 AS slot,
+NULL::INT AS grown_shard, NOT (across AND together > 0.01 * total / 8) AS whole FROM m"""
+
 _SPACE = "'[^\\x20\\x09-\\x0D]+'"
 OP9 = f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, {_SPACE}) AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
@@ -66,4 +76,4 @@ e AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE
 r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, u.y FROM r JOIN u ON r.b = u.x)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) m ON m.a = d.doc_id"""
 
-ORACLE = {"op1_url_filters": OP1, "op3_warc_revisits": OP3, "op4_chat_tool_calls": OP4, "op5_decontamination": OP5, "op7_exact_dedup": OP7, "op9_ngram_jaccard": OP9}
+ORACLE = {"op1_url_filters": OP1, "op3_warc_revisits": OP3, "op4_chat_tool_calls": OP4, "op5_decontamination": OP5, "op7_exact_dedup": OP7, "op8_sharding": OP8, "op9_ngram_jaccard": OP9}

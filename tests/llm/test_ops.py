@@ -464,6 +464,17 @@ def test_sharding(spark):
         places = [(x.doc_id, x.shard, x.slot) for x in rows if x.doc_id not in (0,)]
         first = sorted(places, key=str) if per == 10 else first
         assert sorted(places, key=str) == first  # the sample never shows
+        copies = defaultdict(set)
+        for x in rows:
+            copies[text.get(x.doc_id) if x.doc_id not in (0, None) else x.doc_id].add((x.shard, x.whole))
+        assert all({w for _, w in c} == {len({s for s, _ in c}) == 1} for t, c in copies.items() if t not in (0, None))
+    assert sharding.shard(docs.where("text = 'hot text'")).where("whole").count() == 0
+    # Nothing but one row, again and again.
+    alike = sharding.shard(docs_of(spark, ["same"] * 500, [5] * 500), rows_per_range=10).collect()
+    assert sorted(Counter(x.shard for x in alike).values()) == [62] * 4 + [63] * 4 and len({(x.shard, x.slot) for x in alike}) == 500
+    # More splitters than a plan could hold as literals.
+    many = sharding.shard(docs.select("*"), rows_per_range=1).groupBy("shard").count().collect()
+    assert sum(x["count"] for x in many) == len(texts)
     assert sharding.shard(docs.where("false")).count() == 0
     assert {x.law for x in rows} == {"bytes"} and {x.grown_shard for x in rows} == {None}
 
