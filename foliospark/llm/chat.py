@@ -4,18 +4,23 @@ DataFrame operations only.  Calls and results meet in an equi-join on (conversat
 A call depends on the calls of its conversation that its arguments name in an ``after`` field
 (an id or a list of ids).  Its level is 0 without dependencies, else one more than the
 largest level among them; ``position`` numbers the calls of a conversation by (level, turn,
-call id).  What is on or behind a cycle gets level null.
+call id).  What is on or behind a cycle gets level null and comes last.
 
 Defined cases: of calls with one (conversation, id) the first by (turn, name, arguments) counts, of
 results the first by (turn, content); status is linked, no_result, or early_result when the
 first result isn't later than the call; results without a call are listed by
 ``orphan_results``.  Dependencies on unknown calls or on itself: the first are ignored and listed as
 errors, the second is a cycle.  Null conversation or call ids never join: such calls have no
-result and no dependencies.  Arguments that aren't a JSON object (null, empty and malformed
+result, no dependencies and no position, and level 0.  Arguments that aren't a JSON object (null, empty and malformed
 ones too) give the error ``not an object`` and null canonical arguments.  Extra columns are
 ignored; empty tables give empty results.
 
-Canonical JSON: keys sorted, no blanks, numbers as JSON numbers.
+Canonical JSON: keys sorted, no blanks, and one form for equal numbers: integers keep all their
+digits, others are the shortest that give the same double, without exponent from 1e-6 to below
+1e21 (100 for 1e2 and 100.0).  Arguments may be of any length.
+
+A conversation may hold a third of all calls: calls are numbered within a level and a run of
+``TURNS`` turns, and what comes before such a run is a sum over the runs' counts.
 """
 
 from __future__ import annotations
@@ -36,6 +41,7 @@ class Field:
     required: bool = False
 
 
+TURNS = 1000
 Schemas = dict[str, tuple[Field, ...]]
 
 SCHEMAS: Schemas = {
@@ -43,6 +49,8 @@ SCHEMAS: Schemas = {
     "lookup": (Field("id", "integer", True), Field("fields", "array"), Field("after", "string")),
     "rate": (Field("score", "number", True), Field("final", "boolean"), Field("after", "string")),
 }
+#: As above, for the calls of ``calls_of_conversations``, which name several calls.
+TOOLS: Schemas = {name: (*fields[:-1], Field("after", "array")) for name, fields in SCHEMAS.items()}
 #: Names that schema_of_variant gives to the values of each kind.
 _KINDS = {"string": "^STRING$", "integer": "^(BIGINT|DECIMAL\\(\\d+,0\\))$", "number": "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$", "boolean": "^BOOLEAN$", "array": "^ARRAY<", "object": "^OBJECT<"}
 
@@ -61,6 +69,29 @@ def _errors(name: Column, schemas: Schemas) -> Column:
     return F.when(F.col("keys").isNull(), F.array(F.lit("not an object"))).otherwise(out)
 
 
+def _number(x: Column) -> Column:
+    """The canonical form of a number, from its JSON text."""
+    d = x.try_cast("double")
+    size = F.abs(d)
+    text = d.cast("string")
+    plain = F.when(size < 1, d.cast("string").try_cast("decimal(38,28)").cast("string")).otherwise(text.try_cast("decimal(38,18)").cast("string"))
+    plain = F.regexp_replace(plain, r"\.?0+$", "")
+    far = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), "E(?=[0-9])", "e+"), "E-", "e-")
+    return (
+        F.when(x.rlike(r"^-?[0-9]+$"), F.when(x == "-0", "0").otherwise(x))
+        .when(d == 0, "0")
+        .when((size < 1e21) & (d == F.rint(d)), text.try_cast("decimal(38,0)").cast("string"))
+        .when((size >= 1e-6) & (size < 1e21), plain)
+        .otherwise(far)
+    )
+
+
+def canonical(json: Column) -> Column:
+    """The JSON of a variant (sorted, without blanks) with its numbers in canonical form; strings stay as they are."""
+    parts = F.regexp_extract_all(json, F.lit(r'("[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9][0-9.eE+-]*+|[^"0-9-]++)'), 1)
+    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^[-0-9]"), _number(x)).otherwise(x)), "")
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas | None = None) -> DataFrame:
     """calls: conv_id, turn, call_id, name, arguments; results: conv_id, turn, call_id, content.
 
@@ -81,9 +112,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas | None = None) -
         "name",
         F.coalesce(F.expr("try_variant_get(v, '$.after', 'array<string>')"), F.array_compact(F.array(F.expr("try_variant_get(v, '$.after', 'string')"))), F.array().cast("array<string>")).alias("after"),
         _errors(F.col("name"), schemas).alias("errors"),
-        F.when(F.col("keys").isNotNull(), F.to_json("v")).alias("arguments"),
+        F.when(F.col("keys").isNotNull(), canonical(F.to_json("v"))).alias("arguments"),
     )
-    calls = materialize(calls, "chat-calls")
+    calls = materialize(calls, "chat-calls", merge=False)
 
     # Hash join of calls and first results.
     first = results.select("conv_id", "turn", "call_id", "content").groupBy(*key).agg(F.min(F.struct("turn", "content")).alias("r"))
@@ -91,9 +122,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas | None = None) -
     status = F.when(F.col("r").isNull(), "no_result").when(F.col("r.turn") > F.col("turn"), "linked").otherwise("early_result")
 
     levels, unknown = _levels(calls)
-    out = linked.join(levels, key, "left").join(unknown, key, "left")
+    out = linked.join(_positions(calls, levels), key, "left").join(unknown, key, "left")
     errors = F.concat("errors", F.coalesce("unknown", F.array().cast("array<string>")))
-    order = W.partitionBy("conv_id").orderBy(F.col("level").asc_nulls_last(), "turn", "call_id")
     return out.select(
         *key,
         "turn",
@@ -102,13 +132,27 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas | None = None) -
         F.col("r.turn").alias("result_turn"),
         F.col("r.content").alias("content"),
         F.when(F.expr(no_id), F.lit(0)).otherwise(F.col("level")).alias("level"),
-        F.row_number().over(order).alias("position"),
+        "position",
         (F.size(errors) == 0).alias("valid"),
         errors.alias("errors"),
         "arguments",
     )
 
 
+def _positions(calls: DataFrame, levels: DataFrame) -> DataFrame:
+    """conv_id, call_id, level, position, of calls with ids."""
+    key = ["conv_id", "call_id"]
+    rows = calls.where("conv_id is not null and call_id is not null").select(*key, "turn").join(levels, key, "left")
+    rows = materialize(rows.withColumn("rank", F.coalesce("level", F.lit(2**31 - 1))).withColumn("run", F.coalesce(F.floor(F.col("turn") / TURNS), F.lit(-(2**62)))), "chat-order", merge=False)
+    run = ["conv_id", "rank", "run"]
+    counts = rows.groupBy(*run).agg(F.count("*").alias("n"))
+    before = W.partitionBy("conv_id").orderBy("rank", "run").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.select("conv_id", "rank", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(W.partitionBy(*run).orderBy("turn", "call_id"))
+    met = rows.withColumn("inside", inside).join(counts, ["conv_id", "rank", "run"])
+    return met.select(*key, "level", (F.col("before") + F.col("inside")).cast("int").alias("position"))
+
+
 def _levels(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(conv_id, call_id, level) of the calls off cycles, and their dependencies on unknown calls.
 
@@ -120,10 +164,10 @@ def _levels(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = calls.where("conv_id is not null and call_id is not null").select(*key, "after")
     edges = own.select(*key, F.explode(F.array_distinct("after")).alias("needs"))
     known = own.select("conv_id", F.col("call_id").alias("needs"), F.lit(True).alias("known"))
-    edges = materialize(edges.join(known, ["conv_id", "needs"], "left"), "chat-edges")
+    edges = materialize(edges.join(known, ["conv_id", "needs"], "left"), "chat-edges", merge=False)
     unknown = edges.where("known is null").groupBy(*key).agg(F.array_sort(F.collect_set(F.concat("needs", F.lit(" is an unknown call")))).alias("unknown"))
     edges = edges.where("known").drop("known")
-    degree = materialize(edges.groupBy(*key).agg(F.count("*").alias("n"), F.min("needs").alias("to")), "chat-degrees")
+    degree = materialize(edges.groupBy(*key).agg(F.count("*").alias("n"), F.min("needs").alias("to")), "chat-degrees", merge=False)
     free = own.join(degree, key, "left_anti").select(*key, F.lit(0).cast("long").alias("level"))
     to_end = _jump(degree.where("n = 1").select(*key, "to"))
 
@@ -132,15 +176,15 @@ def _levels(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
     at = to_end.select("conv_id", F.col("call_id").alias("needs"), F.when(F.col("ends"), F.col("to")).alias("to"), "far")
     single = F.col("far").isNotNull()
     waiting = several.join(at, ["conv_id", "needs"], "left").select(*key, F.when(single, F.col("to")).otherwise(F.col("needs")).alias("end"), F.when(single, F.col("far")).otherwise(0).alias("far"), F.lit(None).cast("long").alias("upto"))
-    waiting = materialize(waiting, "chat-waiting")
-    settled = materialize(free, "chat-levels")
+    waiting = materialize(waiting, "chat-waiting", merge=False)
+    settled = materialize(free, "chat-levels", merge=False)
     parts, newest = [settled], settled
     while waiting.take(1):
         met = newest.select("conv_id", F.col("call_id").alias("end"), "level")
         waiting = waiting.join(met, ["conv_id", "end"], "left").select(*key, "end", "far", F.coalesce("upto", F.col("level") + F.col("far")).alias("upto"))
-        waiting = materialize(waiting, "chat-waiting")
+        waiting = materialize(waiting, "chat-waiting", merge=False)
         newest = waiting.groupBy(*key).agg(F.max("upto").alias("level"), F.count_if(F.col("upto").isNull()).alias("open")).where("open = 0").select(*key, (F.col("level") + 1).alias("level"))
-        newest = materialize(newest, "chat-levels")
+        newest = materialize(newest, "chat-levels", merge=False)
         if not newest.take(1):
             break
         parts.append(newest)
@@ -156,12 +200,12 @@ def _levels(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _jump(pointers: DataFrame) -> DataFrame:
     """pointers(conv_id, call_id, to) -> the same with ``to`` moved to the first call that has no pointer, how far that is, and whether it was reached."""
     has = pointers.select("conv_id", F.col("call_id").alias("to"), F.lit(True).alias("on"))
-    now = materialize(pointers.join(has, ["conv_id", "to"], "left").select("conv_id", "call_id", "to", F.lit(1).cast("long").alias("far"), F.col("on").isNull().alias("ends")), "chat-pointers")
+    now = materialize(pointers.join(has, ["conv_id", "to"], "left").select("conv_id", "call_id", "to", F.lit(1).cast("long").alias("far"), F.col("on").isNull().alias("ends")), "chat-pointers", merge=False)
     open_rows = now.where("not ends").count()
     while open_rows:
         step = now.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("to2"), F.col("far").alias("far2"), F.col("ends").alias("ends2"))
         moved = now.where("not ends").join(step, ["conv_id", "to"]).select("conv_id", "call_id", F.col("to2").alias("to"), (F.col("far") + F.col("far2")).alias("far"), F.col("ends2").alias("ends"))
-        now = materialize(now.where("ends").unionByName(moved), "chat-pointers")
+        now = materialize(now.where("ends").unionByName(moved), "chat-pointers", merge=False)
         left = now.where("not ends").count()
         if left == open_rows:  # what no round brings to an end runs into a cycle
             break
@@ -175,20 +219,27 @@ def orphan_results(calls: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def calls_of_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Every assistant turn as a call and the turn after it as its result.
+    """Every assistant turn as a call, and results from the other turns.
 
-    Tool and arguments follow from the turn's text: its length chooses the tool, and each call
-    but the first of a conversation comes after the one before it.  Some arguments break the schema.
+    All follows from the turn's text: its length chooses the tool, the calls that this one comes after
+    (the last one, the third last, itself, an unknown one, or none), how a number is written and
+    whether the arguments break the schema.  The turn after a call has its result; some turns
+    have one of the call that only comes next.
     """
     n = F.length(F.coalesce("text", F.lit("")))
-    ident = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
-    said = turns.where("role = 'assistant'").select("conv_id", "turn", ident.alias("call_id"), n.alias("n"))
-    said = said.withColumn("prev", F.lag("call_id").over(W.partitionBy("conv_id").orderBy("turn")))
-    after = F.when(F.col("prev").isNotNull(), F.concat(F.lit(', "after": "'), F.col("prev"), F.lit('"'))).otherwise("")
+    ident = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
+    said = turns.where("role = 'assistant'").select("conv_id", "turn", ident(F.col("turn")).alias("call_id"), n.alias("n"))
+    order = W.partitionBy("conv_id").orderBy("turn")
+    said = said.withColumn("last", F.lag("call_id").over(order)).withColumn("third", F.lag("call_id", 3).over(order))
+    needs = F.array_compact(F.array(F.when(F.col("n") % 5 != 0, F.col("last")), F.when(F.col("n") % 2 == 0, F.col("third")), F.when(F.col("n") % 17 == 0, F.col("call_id")), F.when(F.col("n") % 19 == 0, F.concat(F.lit("x"), F.col("call_id")))))
+    after = F.when(F.size(needs) > 0, F.concat(F.lit(', "after": ["'), F.array_join(needs, '", "'), F.lit('"]'))).otherwise("")
     search = F.concat(F.lit('{"query": "q'), F.col("n"), F.lit('", "limit": '), F.when(F.col("n") % 11 == 0, F.lit('"ten"')).otherwise(F.lit("10")), after, F.lit("}"))
     lookup = F.concat(F.lit('{"id": '), F.col("n"), after, F.when(F.col("n") % 13 == 0, ', "depth": 2').otherwise(', "fields": ["b", "a"]'), F.lit("}"))
-    rate = F.concat(F.lit("{"), F.when(F.col("n") % 7 == 0, '"final": true').otherwise('"score": 0.5, "final": false'), after, F.lit("}"))
+    score = F.when(F.col("n") % 4 == 0, "5e-1").when(F.col("n") % 4 == 1, "0.50").when(F.col("n") % 4 == 2, "1e2").otherwise("100.0")
+    rate = F.concat(F.lit("{"), F.when(F.col("n") % 7 == 0, '"final": true').otherwise(F.concat(F.lit('"score": '), score, F.lit(', "final": false'))), after, F.lit("}"))
     tool = F.when(F.col("n") % 3 == 0, "search").when(F.col("n") % 3 == 1, "lookup").otherwise("rate")
     calls = said.select("conv_id", "turn", "call_id", tool.alias("name"), F.when(F.col("n") % 3 == 0, search).when(F.col("n") % 3 == 1, lookup).otherwise(rate).alias("arguments"))
-    results = turns.where("role <> 'assistant' and turn > 0").select("conv_id", "turn", F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - 1).cast("string")).alias("call_id"), F.col("text").alias("content"))
-    return calls, results
+    others = turns.where("role <> 'assistant'")
+    results = others.where("turn > 0").select("conv_id", "turn", ident(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    early = others.where(n % 10 == 3).select("conv_id", "turn", ident(F.col("turn") + 1).alias("call_id"), F.col("text").alias("content"))
+    return calls, results.unionByName(early)

@@ -25,24 +25,31 @@ _KEY_QUERY = "regexp_replace(regexp_replace(regexp_extract(rest, '\\?(.*)$', 1),
 OP3 = f"""WITH b AS (SELECT page_id, url, '"' || md5(coalesce(html, '')) || '"' AS tag, ('0x' || substr(md5(coalesce(url, '')), 1, 7))::BIGINT AS v, 'day ' || (page_id % 365) AS day, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^#]*)', 1) AS rest FROM pages),
 k AS (SELECT *, {_KEY_HOST} AS host, {_KEY_PATH} AS path, {_KEY_QUERY} AS query FROM b),
 x AS (SELECT *, CASE WHEN host <> '' THEN host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS url_key FROM k),
-f AS (SELECT page_id * 2 AS id, url_key, page_id AS ts, CASE WHEN v % 5 <> 0 THEN tag END AS etag, CASE WHEN v % 10 <> 0 THEN day END AS modified, tag AS digest FROM x),
-r AS (SELECT page_id * 2 + 1 AS id, url_key, page_id + 1 + v % 1000 AS ts, CASE WHEN v % 7 = 0 THEN '"stale"' ELSE 'W/' || tag END AS etag, day AS modified, tag AS digest FROM x),
+f AS (SELECT page_id * 2 AS id, url_key, page_id AS ts, CASE WHEN v % 5 <> 0 THEN tag END AS etag, CASE WHEN v % 10 <> 0 THEN day END AS modified, CASE WHEN v % 2 = 0 THEN 'max-age=60' END AS cc, tag AS digest FROM x),
+r AS (SELECT page_id * 2 + 1 AS id, url_key, page_id + 1 + v % 1000 AS ts, CASE WHEN v % 7 = 0 THEN '"stale"' ELSE 'W/' || tag END AS etag, day AS modified, CASE WHEN v % 3 = 0 THEN 'no-store' END AS cc, tag AS digest FROM x),
 j AS (SELECT r.id, max({{'ts': f.ts, 'id': f.id}}).id AS fid FROM r LEFT JOIN f ON f.url_key = r.url_key AND f.ts < r.ts GROUP BY r.id),
-o AS (SELECT r.*, j.fid, f.etag AS old_etag, f.modified AS old_modified, f.digest AS old_digest,
+o AS (SELECT r.*, j.fid, f.etag AS old_etag, f.modified AS old_modified, f.digest AS old_digest, f.cc AS old_cc,
  CASE WHEN fid IS NULL THEN 'orphan' WHEN r.etag IS NOT NULL AND f.etag IS NOT NULL THEN CASE WHEN regexp_replace(r.etag, '^W/', '') = f.etag THEN 'etag' ELSE 'mismatch' END
  WHEN r.modified IS NOT NULL AND f.modified IS NOT NULL THEN CASE WHEN r.modified = f.modified THEN 'modified' ELSE 'mismatch' END WHEN r.digest = f.digest THEN 'digest' ELSE 'mismatch' END AS outcome FROM r JOIN j USING (id) LEFT JOIN f ON f.id = j.fid)
 SELECT id AS record_id, url_key, ts, fid AS response_id, outcome, CASE WHEN outcome IN ('etag', 'modified', 'digest') THEN old_digest END AS digest,
-CASE WHEN outcome IN ('etag', 'modified', 'digest') THEN 'content-type: text/html' || chr(10) || 'date: now' || chr(10) || 'etag: ' || etag || chr(10) || 'expires: later' || chr(10) || 'last-modified: ' || modified END AS headers FROM o"""
+CASE WHEN outcome IN ('etag', 'modified', 'digest') THEN array_to_string(list_filter(['cache-control: ' || coalesce(cc, old_cc), 'content-type: text/html', 'date: now', 'etag: ' || etag, 'expires: later', 'last-modified: ' || modified, 'server: old'], lambda x: x IS NOT NULL), chr(10)) END AS headers FROM o"""
 
-OP4 = """WITH a AS (SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, length(coalesce(text, '')) AS n FROM conversations WHERE role = 'assistant'),
-c AS (SELECT *, lag(call_id) OVER (PARTITION BY conv_id ORDER BY turn) AS prev, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos FROM a),
-p AS (SELECT *, CASE WHEN prev IS NULL THEN '' ELSE '"after":"' || prev || '",' END AS af FROM c)
-SELECT p.conv_id, p.call_id, p.turn, CASE n % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'lookup' ELSE 'rate' END AS name, CASE WHEN r.turn IS NULL THEN 'no_result' ELSE 'linked' END AS status, r.turn AS result_turn, r.text AS content,
-(pos - 1)::INT AS level, pos::INT AS position, NOT coalesce((n % 3 = 0 AND n % 11 = 0) OR (n % 3 = 1 AND n % 13 = 0) OR (n % 3 = 2 AND n % 7 = 0), false) AS valid,
-CASE WHEN n % 3 = 0 AND n % 11 = 0 THEN 'limit is not integer' WHEN n % 3 = 1 AND n % 13 = 0 THEN 'depth is unknown' WHEN n % 3 = 2 AND n % 7 = 0 THEN 'score is missing' ELSE '' END AS errors,
+OP4 = """WITH RECURSIVE a AS (SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, length(coalesce(text, '')) AS n FROM conversations WHERE role = 'assistant'),
+c AS (SELECT *, lag(call_id) OVER (PARTITION BY conv_id ORDER BY turn) AS l1, lag(call_id, 3) OVER (PARTITION BY conv_id ORDER BY turn) AS l3 FROM a),
+d AS (SELECT *, list_filter([CASE WHEN n % 5 <> 0 THEN l1 END, CASE WHEN n % 2 = 0 THEN l3 END, CASE WHEN n % 17 = 0 THEN call_id END, CASE WHEN n % 19 = 0 THEN 'x' || call_id END], lambda x: x IS NOT NULL) AS needs FROM c),
+e AS (SELECT call_id, unnest(needs) AS need FROM d), k AS (SELECT e.* FROM e JOIN a ON a.call_id = e.need),
+lost AS (SELECT call_id FROM k WHERE need = call_id UNION SELECT k.call_id FROM k JOIN lost ON k.need = lost.call_id),
+path AS (SELECT call_id, 0 AS far FROM a UNION SELECT k.call_id, far + 1 FROM k JOIN path ON k.need = path.call_id WHERE k.call_id NOT IN (SELECT call_id FROM lost)),
+lev AS (SELECT call_id, max(far) AS level FROM path WHERE call_id NOT IN (SELECT call_id FROM lost) GROUP BY call_id),
+res AS (SELECT conv_id, turn, 'c' || conv_id || '-' || (turn - 1) AS call_id, text FROM conversations WHERE role <> 'assistant' AND turn > 0 UNION ALL SELECT conv_id, turn, 'c' || conv_id || '-' || (turn + 1), text FROM conversations WHERE role <> 'assistant' AND length(coalesce(text, '')) % 10 = 3),
+r AS (SELECT * FROM res QUALIFY row_number() OVER (PARTITION BY call_id ORDER BY turn, text NULLS FIRST) = 1),
+p AS (SELECT d.*, level, CASE WHEN len(needs) > 0 THEN '"after":["' || array_to_string(needs, '","') || '"],' ELSE '' END AS af, CASE WHEN n % 4 < 2 THEN '0.5' ELSE '100' END AS score,
+ CASE WHEN n % 3 = 0 AND n % 11 = 0 THEN 'limit is not integer' WHEN n % 3 = 1 AND n % 13 = 0 THEN 'depth is unknown' WHEN n % 3 = 2 AND n % 7 = 0 THEN 'score is missing' END AS e1, CASE WHEN n % 19 = 0 THEN 'x' || call_id || ' is an unknown call' END AS e2 FROM d LEFT JOIN lev USING (call_id))
+SELECT p.conv_id, p.call_id, p.turn, CASE n % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'lookup' ELSE 'rate' END AS name, CASE WHEN r.turn IS NULL THEN 'no_result' WHEN r.turn > p.turn THEN 'linked' ELSE 'early_result' END AS status, r.turn AS result_turn, r.text AS content,
+level::INT AS level, (row_number() OVER (PARTITION BY p.conv_id ORDER BY level NULLS LAST, p.turn, p.call_id))::INT AS position, e1 IS NULL AND e2 IS NULL AS valid, concat_ws('; ', e1, e2) AS errors,
 CASE n % 3 WHEN 0 THEN '{' || af || '"limit":' || CASE WHEN n % 11 = 0 THEN '"ten"' ELSE '10' END || ',"query":"q' || n || '"}' WHEN 1 THEN '{' || af || CASE WHEN n % 13 = 0 THEN '"depth":2' ELSE '"fields":["b","a"]' END || ',"id":' || n || '}'
-ELSE '{' || af || CASE WHEN n % 7 = 0 THEN '"final":true}' ELSE '"final":false,"score":0.5}' END END AS arguments
-FROM p LEFT JOIN (SELECT conv_id, turn, text FROM conversations WHERE role <> 'assistant' AND turn > 0) r ON r.conv_id = p.conv_id AND r.turn = p.turn + 1"""
+ELSE '{' || af || CASE WHEN n % 7 = 0 THEN '"final":true}' ELSE '"final":false,"score":' || score || '}' END END AS arguments
+FROM p LEFT JOIN r ON r.call_id = p.call_id"""
 
 _ALNUM = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
 OP5 = f"""WITH d AS (SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, {_ALNUM}) AS w FROM documents), b AS (SELECT item_id, regexp_extract_all({_lower("coalesce(text, '')")}, {_ALNUM}) AS w FROM benchmark WHERE item_id IS NOT NULL),

@@ -25,7 +25,7 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_chat_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = chat.calls_of_conversations(table(spark, sf_dir, "conversations"))
-    return chat.link(calls, results).selectExpr("conv_id", "call_id", "turn", "name", "status", "result_turn", "content", "level", "position", "valid", "array_join(errors, '; ') AS errors", "arguments")
+    return chat.link(calls, results, chat.TOOLS).selectExpr("conv_id", "call_id", "turn", "name", "status", "result_turn", "content", "level", "position", "valid", "array_join(errors, '; ') AS errors", "arguments")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

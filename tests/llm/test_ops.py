@@ -214,7 +214,8 @@ def test_revisits_against_brute_force(spark):
         h = {"ETag": r.choice(["a", "b", None]), "Last-Modified": r.choice(["x", "y", None]), "Date": str(i), "Content-Type": kind}
         rows.append((i, r.choice(["http://h/p", "https://www.H/p/", "http://h/q?utm_a=1", None, "bad"]), r.choice([None, *range(40)]), kind, h, r.choice(["d", "e", None])))
     df = spark.createDataFrame(rows, "record_id long, url string, ts long, kind string, headers map<string,string>, digest string").withColumn("hit", F.lit(1))
-    got = {x.record_id: x for x in warc.resolve(df, buckets=8).collect()}
+    got = {x.record_id: x for x in warc.resolve(df, rows_per_bucket=20).collect()}
+    assert {i: tuple(x) for i, x in got.items()} == {x.record_id: tuple(x) for x in warc.resolve(df).collect()}
     key = lambda u: {"http://h/p": "h/p", "https://www.H/p/": "h/p", "http://h/q?utm_a=1": "h/q"}.get(u)
     for i, u, ts, kind, h, digest in rows:
         if kind == "response":
@@ -238,6 +239,10 @@ def test_revisits_against_brute_force(spark):
             merged = {y.name: y.value for y in x.headers}
             assert merged["content-type"] == "response" and merged["date"] == str(i)
     assert warc.resolve(df.where("false")).count() == 0
+    # One URL at one time, then once more with very long headers; equal rows stay apart.
+    same = [(0, "http://h/p", 1, "response", {"etag": "a", "x": "y" * 300_000}, "d")] + [(i, "http://h/p", 2, "revisit", {"ETag": "W/a", "X": "no"}, None) for i in (5, 5, *range(6, 60))]
+    rows = warc.resolve(spark.createDataFrame(same, df.drop("hit").schema), rows_per_bucket=3).collect()
+    assert len(rows) == 56 and {(x.response_id, x.outcome, len(x.headers[1].value)) for x in rows} == {(0, "etag", 300_000)}
 
 
 # ---------------------------------------------------------------- 4: tool calls
@@ -273,6 +278,30 @@ def test_tool_calls(spark):
     assert chat.link(c.where("false"), r).count() == 0
 
 
+def test_canonical_json(spark):
+    forms = {"1e2": "100", "100.0": "100", "100": "100", "-0": "0", "-0.0": "0", "0.50": "0.5", "5E-1": "0.5", "1e21": "1e+21", "1.5e300": "1.5e+300", "1e-7": "1e-7", "-2.5e-9": "-2.5e-9", "0.000001": "0.000001", "1.25e-5": "0.0000125", "1e20": "100000000000000000000", "9007199254740993": "9007199254740993", "12345678.5": "12345678.5", "-0.001": "-0.001"}
+    calls = [(1, i, f"k{i}", "t", '{ "z" : %s, "a":{"y":[%s , "1e2 \\\\ \\"1.0\\"", true,null]}}' % (x, x)) for i, x in enumerate(forms)]
+    calls.append((1, 99, "long", "t", '{"b": "' + "x1.0\\\\" * 60_000 + '", "a": 1.0}'))
+    c = spark.createDataFrame(calls, "conv_id long, turn long, call_id string, name string, arguments string")
+    r = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string")
+    rows = {x.call_id: x.arguments for x in chat.link(c, r).collect()}
+    for i, v in enumerate(forms.values()):
+        assert rows[f"k{i}"] == '{"a":{"y":[%s,"1e2 \\\\ \\"1.0\\"",true,null]},"z":%s}' % (v, v)
+    assert rows["long"] == '{"a":1,"b":"' + "x1.0\\\\" * 60_000 + '"}'
+
+
+def test_positions_of_a_long_conversation(spark):
+    n = 5 * chat.TURNS + 7
+    rows = [(1, i, f"k{i:05}", "x", '{"after": "k%05d"}' % (i - 1) if i % 3 == 2 else "{}") for i in range(n)] + [(None, i, "k", "x", "{}") for i in range(5)] + [(2, None, "k", "x", "{}"), (2, 0, None, "x", "{}")]
+    c = spark.createDataFrame(rows, "conv_id long, turn long, call_id string, name string, arguments string")
+    r = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string")
+    got = chat.link(c, r).collect()
+    order = sorted(range(n), key=lambda i: (i % 3 == 2, i))
+    assert {x.call_id: x.position for x in got if x.conv_id == 1} == {f"k{i:05}": k for k, i in enumerate(order, 1)}
+    assert [(x.level, x.position) for x in got if x.conv_id is None] == [(0, None)] * 5
+    assert sorted((x.position or 0, x.level) for x in got if x.conv_id == 2) == [(0, 0), (1, 0)]
+
+
 def test_levels_of_random_dependencies(spark):
     r = random.Random(31)
     rows, want = [], {}
