@@ -14,9 +14,11 @@ resolved alike, each in a row of its own.  Extra columns are ignored; empty tabl
 empty results.
 
 Payloads never move: only ids, times, headers and digests do.  A URL may hold a third of all
-records: time is cut into buckets at approximate quantiles, the last response of each (URL,
-bucket) is aggregated before the shuffle and carried over to the buckets after it (a window of
-at most ``buckets`` rows for each URL), and only records of one bucket meet in a window.
+records, and any number of them one time: records of one (URL, time) become one row before the
+shuffle; the times of a URL with more than ``rows`` records are cut at approximate quantiles
+of its own into buckets of about that many; only one bucket's times meet in a window, and the last
+response of each bucket is carried over to those after it.  The cuts, at most a number for each
+``rows`` records, are counted and broadcast if they are few.
 """
 
 from __future__ import annotations
@@ -25,11 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import materialize
+from .common import materialize, short
 
 #: Header fields that a 304 response may carry to update a stored one (RFC 9110, 15.4.5).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
-BUCKETS = 64
+#: Records of a URL whose times meet in one window.
+ROWS = 100_000
 _HEADERS = "array<struct<name:string,value:string>>"
 
 
@@ -57,7 +60,24 @@ def _weak(tag: Column) -> Column:
     return F.regexp_replace(tag, "^W/", "")
 
 
-def resolve(records: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def _buckets(good: DataFrame, rows: int) -> DataFrame:
+    """The records with the number of their bucket among those of their URL."""
+    heavy = good.groupBy("url_key").agg(F.count("*").alias("n")).where(F.col("n") > rows)
+    heavy = materialize(heavy, "warc-heavy", merge=False)
+    if not heavy.take(1):
+        return good.withColumn("bucket", F.lit(0))
+    brief = short(heavy)
+    times = good.select("url_key", "ts").join(F.broadcast(heavy) if brief else heavy, "url_key")
+    # A histogram of fixed size for each URL, then its quantiles.
+    cuts = times.groupBy("url_key").agg(F.max("n").alias("n"), F.percentile_approx("ts", [k / 1000 for k in range(1, 1000)], 10_000).alias("q"))
+    step = F.greatest(F.lit(1), F.floor(F.lit(1000) * rows / F.col("n")).cast("int"))
+    cuts = cuts.select("url_key", F.array_sort(F.array_distinct(F.filter("q", lambda x, i: (i + 1) % step == 0))).alias("cuts"))
+    cuts = materialize(cuts, "warc-cuts", merge=False)
+    met = good.join(F.broadcast(cuts) if brief else cuts, "url_key", "left")
+    return met.withColumn("bucket", F.coalesce(F.size(F.filter("cuts", lambda c: c <= F.col("ts"))), F.lit(0))).drop("cuts")
+
+
+def resolve(records: DataFrame, rows_per_bucket: int = ROWS) -> DataFrame:
     """records: record_id, url, ts (long), kind ('response' or 'revisit'), headers map, digest.
 
     A row a revisit: record_id, url_key, ts, response_id, outcome, digest, headers (array of
@@ -66,21 +86,19 @@ def resolve(records: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     rows = records.select("record_id", canonical_url(F.col("url")).alias("url_key"), F.col("ts").cast("long").alias("ts"), "kind", _headers(F.col("headers")).alias("headers"), "digest").where("kind in ('response', 'revisit')")
     rows = materialize(rows, "warc-records")
     can_join = "url_key is not null and ts is not null"
-    cuts = rows.where(can_join).agg(F.percentile_approx("ts", [k / buckets for k in range(1, buckets)], 1000).alias("q")).first()["q"] or []
-    cuts = sorted(set(cuts))
-    bucket = sum(((F.col("ts") >= c).cast("int") for c in cuts), F.lit(0))
-    good = rows.where(can_join).withColumn("bucket", bucket)
+    good = _buckets(rows.where(can_join), rows_per_bucket)
 
     stored = F.struct("ts", "record_id", "headers", "digest")
-    last = good.where("kind = 'response'").groupBy("url_key", "bucket").agg(F.max(stored).alias("own"))
-    before = W.partitionBy("url_key").orderBy("bucket")
-    # A bucket's carry is the last response of any earlier one; buckets without responses need it too.
-    keys = good.where("kind = 'revisit'").select("url_key", "bucket").distinct()
-    carry = keys.join(last, ["url_key", "bucket"], "full").withColumn("carry", F.last("own", ignorenulls=True).over(before.rowsBetween(W.unboundedPreceding, -1))).where("carry is not null").select("url_key", "bucket", "carry")
-
-    inside = W.partitionBy("url_key", "bucket").orderBy("ts").rangeBetween(W.unboundedPreceding, -1)
-    near = good.withColumn("near", F.max(F.when(F.col("kind") == "response", stored)).over(inside)).where("kind = 'revisit'")
-    found = near.join(carry, ["url_key", "bucket"], "left").withColumn("hit", F.coalesce("near", "carry")).select("record_id", "url_key", "ts", "headers", "digest", "hit")
+    times = good.groupBy("url_key", "bucket", "ts").agg(F.max(F.when(F.col("kind") == "response", stored)).alias("own"), F.max(F.col("kind") == "revisit").alias("asked"))
+    times = materialize(times, "warc-times", merge=False)
+    # A bucket's carry is the last response of any earlier one; a URL has few buckets.
+    last = times.groupBy("url_key", "bucket").agg(F.max("own").alias("own"))
+    before = W.partitionBy("url_key").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    carry = last.withColumn("carry", F.last("own", ignorenulls=True).over(before)).where("carry is not null").select("url_key", "bucket", "carry")
+    inside = W.partitionBy("url_key", "bucket").orderBy("ts").rowsBetween(W.unboundedPreceding, -1)
+    near = times.withColumn("near", F.last("own", ignorenulls=True).over(inside)).where("asked")
+    hits = near.join(carry, ["url_key", "bucket"], "left").select("url_key", "ts", F.coalesce("near", "carry").alias("hit"))
+    found = rows.where(f"kind = 'revisit' and {can_join}").join(hits, ["url_key", "ts"]).select("record_id", "url_key", "ts", "headers", "digest", "hit")
     lost = rows.where(f"kind = 'revisit' and not ({can_join})").select("record_id", "url_key", "ts", "headers", "digest")
     found = found.unionByName(lost, allowMissingColumns=True)
 
@@ -124,7 +142,7 @@ def records_of_pages(pages: DataFrame) -> DataFrame:
         "url",
         F.col("page_id").alias("ts"),
         F.lit("response").alias("kind"),
-        F.create_map(F.lit("Content-Type"), F.lit("text/html"), F.lit("Date"), day, F.lit("ETag"), F.when(F.col("v") % 5 != 0, F.col("tag")), F.lit("Last-Modified"), F.when(F.col("v") % 10 != 0, day)).alias("headers"),
+        F.create_map(F.lit("Content-Type"), F.lit("text/html"), F.lit("Date"), day, F.lit("ETag"), F.when(F.col("v") % 5 != 0, F.col("tag")), F.lit("Last-Modified"), F.when(F.col("v") % 10 != 0, day), F.lit("Cache-Control"), F.when(F.col("v") % 2 == 0, "max-age=60"), F.lit("Server"), F.lit("old")).alias("headers"),
         F.col("tag").alias("digest"),
     )
     later = base.select(
@@ -132,7 +150,7 @@ def records_of_pages(pages: DataFrame) -> DataFrame:
         "url",
         (F.col("page_id") + 1 + F.col("v") % 1000).alias("ts"),
         F.lit("revisit").alias("kind"),
-        F.create_map(F.lit("Content-Type"), F.lit("message/http"), F.lit("Date"), F.lit("now"), F.lit("Expires"), F.lit("later"), F.lit("ETag"), F.when(F.col("v") % 7 == 0, F.lit('"stale"')).otherwise(F.concat(F.lit("W/"), F.col("tag"))), F.lit("Last-Modified"), day).alias("headers"),
+        F.create_map(F.lit("Content-Type"), F.lit("message/http"), F.lit("Date"), F.lit("now"), F.lit("Expires"), F.lit("later"), F.lit("ETag"), F.when(F.col("v") % 7 == 0, F.lit('"stale"')).otherwise(F.concat(F.lit("W/"), F.col("tag"))), F.lit("Last-Modified"), day, F.lit("cache-control"), F.when(F.col("v") % 3 == 0, "no-store"), F.lit("SERVER"), F.lit("new")).alias("headers"),
         F.col("tag").alias("digest"),
     )
     return full.unionByName(later)
