@@ -9,10 +9,12 @@ the probability of a bit mixes the KT estimates of all depths along the context
 that these recursions give; a node that was never seen says 1/2.
 
 Everything about the corpus is a table of (DEPTH + 1)-grams of bytes with their counts in the
-learning rows, which grows with the input.  Its groups by the two nearest context bytes hold
-whole subtrees and are weighted apart; what is above (depths 1 and 0: at most 256 * 255 nodes)
-comes to the driver and goes back as a broadcast of fixed size.  The result is again a table:
-gram -> log10 probability of its last byte.
+learning rows, which grows with the input.  Its groups by the ``TOP`` nearest context bytes hold
+whole subtrees and are weighted apart.  A group has all that follows and precedes such a context, two
+bytes and the symbol, whose variety is limited however often they occur.  What is above (depths 2
+to 0: at most 65 536 * 255 nodes of 20 bytes, and some hundred thousand in texts of a few scripts) is summed
+by node, comes to the driver packed and goes back as a broadcast that doesn't grow with the input.  The
+result is again a table: gram -> log10 probability of its last byte.
 
 Scoring.  Documents are dealt into blocks of about ``BLOCK_BYTES`` by a hash of id and text.  A block
 asks for its distinct grams and words once, gets them by a shuffled join, and a text's score is
@@ -35,15 +37,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, crc_mod, join_bytes, materialize, revive, share, space_words, text_slices, tidied, tidy, word_hashes
+from .common import LOWER, crc_mod, join_bytes, materialize, revive, share, small_batches, space_words, text_slices, tidied, tidy, word_hashes
 
 DEPTH = 5
+#: Context bytes of a group of grams.
+TOP = 3
 END = 0xFF
 #: Text bytes of a scoring block.
 BLOCK_BYTES = 24_000_000
 #: Text bytes that are turned into arrays at once.
 SUB_BYTES = 1_500_000
-#: Grams in a group of the context table, on average.  A group holds all contexts that end in certain pairs of bytes.
+#: Grams in a group of the context table, on average.  A group holds all contexts that end in certain runs of ``TOP`` bytes.
 GROUP_GRAMS = 100_000
 GRAM, WORD, BYTES = 0, 1, 2
 END_WORD = np.uint64(0x5DEECE66D1234567)
@@ -166,7 +170,7 @@ def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 _HALF = math.log(0.5)
 
 
-def subtree(keys: np.ndarray, n: np.ndarray, top: int = 2) -> tuple[np.ndarray, np.ndarray, dict]:
+def subtree(keys: np.ndarray, n: np.ndarray, top: int = TOP) -> tuple[np.ndarray, np.ndarray, dict]:
     """Weight all nodes of depths DEPTH..top below the given grams, whole contexts of depth ``top``.
 
     Gives the probability of each gram's eight bits at depth ``top`` (a row a gram), and for
@@ -201,41 +205,52 @@ def subtree(keys: np.ndarray, n: np.ndarray, top: int = 2) -> tuple[np.ndarray,
     return p_bits, sym, {name: np.concatenate(x) for name, x in tops.items()}
 
 
+_ABOVE = (1 << 8 * TOP) - 1  # of a node at depth TOP: the node at the depth above it
+_SUMS = ("a", "b", "log_pw")
+
+
 def _weigh(t: pa.Table) -> pa.Table:
-    """A group of grams -> grams with their bits' probabilities at depth 2, and sums over the group's depth-2 nodes by depth-1 node."""
+    """A group of grams -> grams with their bits' probabilities at depth TOP, and sums over the group's nodes of that depth by node above."""
     keys, n = t.column("key").to_numpy(), t.column("n").to_numpy().astype(float)
     p, _, tops = subtree(keys, n)
-    u, at = np.unique(tops["node"] & 0xFFFF, return_inverse=True)
-    sums = np.column_stack([np.bincount(at, weights=tops[x], minlength=len(u)) for x in ("a", "b", "log_pw")])
-    return pa.table({
-        "kind": pa.array(np.concatenate([np.zeros(len(keys), np.int32), np.ones(len(u), np.int32)])),
-        "key": pa.array(np.concatenate([keys, u])),
-        "data": pa.array([x.tobytes() for x in p] + [x.tobytes() for x in sums], pa.binary()),
-    })
+    u, at = np.unique(tops["node"] & _ABOVE, return_inverse=True)
+    out = {"kind": pa.array(np.concatenate([np.zeros(len(keys), np.int32), np.ones(len(u), np.int32)])), "key": pa.array(np.concatenate([keys, u])), "data": pa.array([x.tobytes() for x in p] + [b""] * len(u), pa.binary())}
+    for x in _SUMS:
+        out[x] = pa.array(np.concatenate([np.zeros(len(keys)), np.bincount(at, weights=tops[x], minlength=len(u))]))
+    return pa.table(out)
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes with their sums as arrays of bytes."""
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([b.column(c).to_numpy().astype(t).tobytes()], pa.binary()) for c, t in (("key", np.int64), *((x, float) for x in _SUMS))], names=["key", *_SUMS])
 
 
 class Roots:
-    """Depths 1 and 0 of all trees: shares of the own estimate, and the estimates for bit 1."""
+    """Depths TOP - 1 to 0 of all trees: sorted nodes of each depth, shares of their own estimate, and the estimates for bit 1."""
 
     def __init__(self, node: np.ndarray, a: np.ndarray, b: np.ndarray, below: np.ndarray):
-        self.share1, self.one1 = np.ones(65_536), np.full(65_536, 0.5)
-        kt = log_kt(a, b)
-        pw = np.logaddexp(_HALF + kt, _HALF + below)
-        self.share1[node], self.one1[node] = np.exp(_HALF + kt - pw), (b + 0.5) / (a + b + 1)
-        a0, b0, below0 = (np.bincount(node & 255, weights=x, minlength=256) for x in (a, b, pw))
-        kt0 = log_kt(a0, b0)
-        self.share0, self.one0 = np.exp(_HALF + kt0 - np.logaddexp(_HALF + kt0, _HALF + below0)), (b0 + 0.5) / (a0 + b0 + 1)
-
-    def log10(self, keys: np.ndarray, p2: np.ndarray) -> np.ndarray:
-        """log10 probability of each gram's last byte, from its bits' probabilities at depth 2."""
+        order = np.argsort(node)
+        node, a, b, below = (x[order] for x in (node, a, b, below))
+        self.levels = []
+        for d in range(TOP - 1, -1, -1):
+            kt = log_kt(a, b)
+            pw = np.logaddexp(_HALF + kt, _HALF + below)
+            self.levels.append((node.astype(np.int32), np.exp(_HALF + kt - pw), (b + 0.5) / (a + b + 1)))
+            up, at = np.unique(node & ((1 << 8 * d) - 1), return_inverse=True)
+            node, (a, b, below) = up, (np.bincount(at, weights=x, minlength=len(up)) for x in (a, b, pw))
+
+    def log10(self, keys: np.ndarray, p_top: np.ndarray) -> np.ndarray:
+        """log10 probability of each gram's last byte, from its bits' probabilities at depth TOP."""
         sym, out = keys & 255, np.zeros(len(keys))
         for k in range(8):
             prefix = (1 << k) | (sym >> (8 - k))
             one = ((sym >> (7 - k)) & 1).astype(bool)
-            node = ((keys >> 8) & 255) << 8 | prefix
-            p = p2[:, k]
-            for share, e in ((self.share1[node], self.one1[node]), (self.share0[prefix], self.one0[prefix])):
-                p = share * np.where(one, e, 1 - e) + (1 - share) * p
+            p = p_top[:, k]
+            for d, (nodes, share, e) in zip(range(TOP - 1, -1, -1), self.levels, strict=True):
+                node = ((keys >> 8) & ((1 << 8 * d) - 1)) << 8 | prefix
+                at = np.searchsorted(nodes, node.astype(np.int32))
+                p = share[at] * np.where(one, e[at], 1 - e[at]) + (1 - share[at]) * p
             out += np.log10(p)
         return out
 
@@ -247,9 +262,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
     """A row a document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte."""
     spark = docs.sparkSession
     held = crc_mod(id_col, FOLDS) == HELD_OUT
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held.alias("held_out"))
+    rows = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held.alias("held_out"))
     counts = rows.select("text", (~F.col("held_out")).alias("learn")).mapInArrow(tidied(_count), "kind int, key long, n long")
-    counts = materialize(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "ctw-counts")
+    counts = materialize(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "ctw-counts", merge=False)
     whole = counts.agg(
         F.coalesce(F.sum(F.when(F.col("kind") == WORD, F.col("n"))), F.lit(0)).alias("n"),
         F.count(F.when(F.col("kind") == WORD, 1)).alias("v"),
@@ -257,15 +272,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
         F.coalesce(F.sum(F.when(F.col("kind") == BYTES, F.col("n"))), F.lit(0)).alias("bytes"),
     ).first()
 
-    # All contexts that end in the same two bytes fall into one group; there are at most 65 536 such pairs.
-    groups = min(65_536, max(16, whole["grams"] // group_grams))
-    near = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))
-    weighed = counts.where(F.col("kind") == GRAM).select(F.pmod(F.hash(near), F.lit(groups)).alias("g"), "key", "n").groupBy("g").applyInArrow(_weigh, "kind int, key long, data binary")
-    weighed = materialize(weighed, "ctw-contexts")
-    below = weighed.where("kind = 1").select("key", "data").groupBy("key").applyInArrow(_add, "key long, data binary").collect()
-    node = np.array([r["key"] for r in below], np.int64)
-    a, b, log_pw = np.array([np.frombuffer(r["data"]) for r in below]).reshape(-1, 3).T if below else np.zeros((3, 0))
-    values = _values(weighed, counts, share(spark, Roots(node, a, b, log_pw)))
+    # All contexts that end in the same TOP bytes fall into one group.
+    groups = max(16, min(1 << 8 * TOP, whole["grams"] // group_grams))
+    near = F.shiftright("key", 8).bitwiseAND(F.lit(_ABOVE))
+    fields = "kind int, key long, data binary, " + ", ".join(f"{x} double" for x in _SUMS)
+    weighed = counts.where(F.col("kind") == GRAM).select(F.pmod(F.hash(near), F.lit(groups)).alias("g"), "key", "n").groupBy("g").applyInArrow(_weigh, fields)
+    weighed = materialize(weighed, "ctw-contexts", merge=False)
+    below = weighed.where("kind = 1").groupBy("key").agg(*[F.sum(x).alias(x) for x in _SUMS]).mapInArrow(_packed, "key binary, " + ", ".join(f"{x} binary" for x in _SUMS)).collect()
+    node, *sums = (np.concatenate([np.frombuffer(r[x], t) for r in below] or [np.zeros(0, t)]) for x, t in (("key", np.int64), *((x, float) for x in _SUMS)))
+    values = _values(weighed, counts, share(spark, Roots(node, *sums)))
 
     blocks = max(1, math.ceil(whole["bytes"] / block_bytes))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(blocks)).cast("int")).repartition(blocks, "block")
@@ -277,16 +292,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
     return dealt.groupBy("block").cogroup(got.groupBy("block")).applyInArrow(_scorer(total, vocabulary), schema)
 
 
-def _add(t: pa.Table) -> pa.Table:
-    """Sums of one depth-1 node: a row from each group at most, so at most 256."""
-    data = np.array([np.frombuffer(x) for x in t.column("data").to_pylist()])
-    return pa.table({"key": t.column("key").slice(0, 1), "data": pa.array([data.sum(0).tobytes()], pa.binary())})
-
-
 def _values(weighed: DataFrame, counts: DataFrame, roots) -> DataFrame:
     def log10(key: pd.Series, data: pd.Series) -> pd.Series:
-        p2 = np.frombuffer(b"".join(data), np.float64).reshape(-1, 8)
-        return pd.Series(revive(Roots, roots.value).log10(key.to_numpy(), p2))
+        p = np.frombuffer(b"".join(data), np.float64).reshape(-1, 8)
+        return pd.Series(revive(Roots, roots.value).log10(key.to_numpy(), p))
 
     value = F.pandas_udf(log10, "double")
     seen = weighed.where("kind = 0").select(F.lit(GRAM).alias("kind"), "key", value("key", "data").alias("value"))
