@@ -20,6 +20,8 @@ copies; extra columns are ignored.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import insort
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,12 +63,12 @@ class Bins:
         r, m = self.free[b], self.mask[b]
         if r:
             new = m not in self.at[r]
-            self.at[r].setdefault(m, []).append(b)
+            insort(self.at[r].setdefault(m, []), b)
             if new:
                 self._update(r)
 
     def successor(self, size: int, mask: int) -> int | None:
-        """The tightest open bin with room for ``size`` whose mask has none of these bits."""
+        """The tightest open bin (of equally tight ones the first that was opened) with room for ``size`` whose mask has none of these bits."""
         stack = [(1, 0, self.leaves)]
         while stack:
             i, lo, n = stack.pop()

@@ -395,6 +395,23 @@ def test_packing(spark):
     assert packing.pack(docs.where("false")).count() == 0
 
 
+def test_packing_against_brute_force(spark):
+    from llm_brute import best_fit
+
+    r = random.Random(43)
+    texts = [*ODD, *["w " * r.randrange(0, 700) for _ in range(250)], *["same text here"] * 30]
+    sources = [None if i % 7 == 0 else "hot" if i % 3 == 0 else f"s{i % 5}" for i in range(len(texts))]
+    rows = packing.pack(docs_of(spark, texts, sources=sources), capacity=1000).collect()
+    want = best_fit({i: (t, s) for i, (t, s) in enumerate(zip(texts, sources, strict=True))}, 1000)
+    assert {(x.doc_id, x.piece): (x.first_token, x.n_tokens, x.bin_id, x.bin_offset, x.bin_tokens) for x in rows} == want
+
+
+def test_packing_in_blocks_fills_bins_as_well(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    bins = {n: packing.pack(docs, block=n).select("bin_id").distinct().count() for n in (10**6, 2048)}
+    assert bins[2048] <= 1.03 * bins[10**6], bins
+
+
 # ---------------------------------------------------------------- 7: exact copies
 
 
