@@ -27,11 +27,11 @@ from .common import drop_rows, materialize, short
 
 #: Code points of the normalised text in the prefix hash.
 PREFIX = 128
-BLANK = " \t\n\x0b\f\r"
+BLANK = "[\\x20\\x09-\\x0D]+"
 
 
 def normal(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), BLANK, "")
+    return F.regexp_replace(F.coalesce(text, F.lit("")), BLANK, "")
 
 
 def full_hash(normalised: Column) -> Column:
@@ -88,27 +88,32 @@ def _one_of_repeated(out: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, in its own columns.
 
-    Each step takes more of fewer texts: lengths of all, prefix hashes of texts whose length
-    occurs twice, digests of those whose length and prefix do.  A step's keys are counted and
-    broadcast to the scan of the next, so texts aren't shuffled; keys too many for that let all
-    texts through to the next step.  (Of n bytes of text, at most sqrt(2 n) lengths can differ.)
+    Each step takes more of fewer texts: lengths and prefix hashes of all, as narrow rows; then, of
+    the documents whose length occurs twice and whose length and prefix do, digests of the
+    whole text.  Their ids are counted and broadcast to the scan, so texts aren't shuffled; ids too
+    many for that let all texts through to the digests.
     """
-    text = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).withColumn("norm", normal(F.col("text")))
-    some = text.withColumn("len", F.length("norm"))
-    some = _survivors(some, some.select("len"))
-    some = some.withColumn("prefix", F.xxhash64(F.substring("norm", 1, PREFIX)))
-    some = _survivors(some, some.select("len", "prefix"))
-    rows = materialize(some.select("doc_id", F.length("text").alias("chars"), "len", "prefix", F.unhex(full_hash(F.col("norm"))).alias("sha")), "exact-suspects")
+    own, body = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    text = F.coalesce(body, F.lit(""))
+    rows = docs.select(own.alias("doc_id"), normal(text).alias("norm"))
+    rows = materialize(rows.select("doc_id", F.length("norm").alias("len"), F.xxhash64(F.substring("norm", 1, PREFIX)).alias("prefix")), "exact-prefixes")
+    some = _groups_of_two(rows, "len")
+    ids = materialize(_groups_of_two(some, "len", "prefix").select("doc_id").distinct(), "exact-suspects", merge=False)
+    whole = docs.select(own.alias("doc_id"), text.alias("text"))
+    if short(ids):
+        suspect = F.broadcast(ids.withColumnRenamed("doc_id", "id"))
+        whole = whole.join(suspect, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    rows = materialize(whole.select("doc_id", F.length("text").alias("chars"), F.unhex(full_hash(normal(F.col("text")))).alias("sha")), "exact-digests")
     best = F.min(F.struct((-F.col("chars")).alias("less"), F.col("doc_id").isNull().alias("no_id"), "doc_id"))
-    groups = rows.groupBy("len", "prefix", "sha").agg(F.count("*").alias("n"), best.alias("best")).where("n > 1")
+    groups = rows.groupBy("sha").agg(F.count("*").alias("n"), best.alias("best")).where("n > 1")
     found = rows.join(groups.select("sha", "best"), "sha").select("doc_id", "sha", F.col("doc_id").eqNullSafe(F.col("best.doc_id")).alias("same"))
     # Rows are known by id and text: an id may be null or stand for other texts as well.
     gone = found.groupBy(F.col("doc_id").alias("id"), F.col("sha").alias("mark")).agg(F.count("*").alias("n"), F.first("same").alias("same"))
     gone = materialize(gone.where("n > 1 or not same"), "exact-gone", merge=False)
-    return drop_rows(docs, gone.where("not same").select("id", "mark"), gone.where("same").select("id", "mark"), F.unhex(full_hash(normal(F.col(f"`{text_col}`")))), id_col, text_col)
+    return drop_rows(docs, gone.where("not same").select("id", "mark"), gone.where("same").select("id", "mark"), F.unhex(full_hash(normal(body))), id_col, text_col)
 
 
-def _survivors(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows whose key (the columns of ``keys``) occurs twice at least, or all if such keys are too many to be broadcast."""
-    twice = materialize(keys.groupBy(*keys.columns).agg(F.count("*").alias("n")).where("n > 1").drop("n"), "exact-keys", merge=False)
-    return rows.join(F.broadcast(twice), keys.columns, "left_semi") if short(twice) else rows
+def _groups_of_two(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows whose keys occur twice at least."""
+    twice = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys)
+    return rows.join(twice, [*keys], "left_semi")
