@@ -34,17 +34,21 @@ def coherence(activity: Column, benefit: Column, instructions: Sequence[str] = P
         few = F.when(n < 5, 30).when(n < 10, 15).otherwise(0)
         return few + F.when((n > 5) & (F.size(F.array_distinct(w)) / n < 0.3), 20).otherwise(0)
 
-    both = _pair(activity, benefit)
-    return F.greatest(F.lit(0.0), F.lit(100.0) - 20 * t.count_matching(both, instructions) - t.let(t.words(both), by_words))
+    score = lambda both: F.greatest(F.lit(0.0), F.lit(100.0) - 20 * t.count_matching(both, instructions) - t.let(t.words(both), by_words))
+    return t.let(_pair(activity, benefit), score)
 
 
 def noise(activity: Column, benefit: Column, artifacts: Sequence[str] = P.ARTIFACTS, weights: Mapping[str, int] = P.ARTIFACT_WEIGHT) -> Column:
     """100, less for artifacts, special characters and characters beyond ASCII."""
-    both = _pair(activity, benefit)
-    found = sum((F.when(both.contains(a), 15 * weights.get(a, 1)).otherwise(0) for a in artifacts), F.lit(0))
-    odd = t.let(C.special_ratio(both), lambda special: F.when(special > 0.2, 30).when(special > 0.1, 15).otherwise(0))
-    foreign = F.when(F.length(F.regexp_replace(both, r"[\x00-\x7F]", "")) > F.length(both) * 0.1, 20).otherwise(0)
-    return F.greatest(F.lit(0.0), F.lit(100.0) - found - odd - foreign)
+
+    def score(both: Column) -> Column:
+        found = sum((F.when(both.contains(a), 15 * weights.get(a, 1)).otherwise(0) for a in artifacts), F.lit(0))
+        odd = t.let(C.special_ratio(both), lambda special: F.when(special > 0.2, 30).when(special > 0.1, 15).otherwise(0))
+        # Only texts with some bytes beyond ASCII are searched for them.
+        beyond = F.when(F.octet_length(both) > F.length(both), F.regexp_count(both, F.lit(r"[^\x00-\x7F]"))).otherwise(0)
+        return F.greatest(F.lit(0.0), F.lit(100.0) - found - odd - F.when(beyond > F.length(both) * 0.1, 20).otherwise(0))
+
+    return t.let(_pair(activity, benefit), score)
 
 
 def overall(complete: Column, coherent: Column, quiet: Column) -> Column:
@@ -60,8 +64,8 @@ def ocr_quality(c: Column, common: Sequence[str] = P.COMMON_WORDS) -> Column:
     """very_low, low or medium, by vowels, common words, special characters and consonant runs."""
     c = t.text_of(c)
     low = F.lower(c)
-    vowels = F.length(F.regexp_replace(low, "[^aeiou]", ""))
-    letters = F.length(F.regexp_replace(low, "[^a-z]", ""))
+    among = lambda characters: F.length(low) - F.length(F.translate(low, characters, ""))
+    vowels, letters = among("aeiou"), among("abcdefghijklmnopqrstuvwxyz")
     share = vowels / letters
     special = F.regexp_count(c, F.lit(P.ODD_CHARACTERS)) / F.length(c)
     runs = F.regexp_count(low, F.lit("[bcdfghjklmnpqrstvwxyz]{6,}"))

@@ -57,9 +57,13 @@ def contains_any(c: Column, literals: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [c.contains(x) for x in literals], F.lit(False))
 
 
+#: Unicode white space, as a class of the regex dialect has it.
+BLANK = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(c: Column) -> Column:
-    """Unicode white space off both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    """Unicode white space off both ends: looks at the ends only, where a regex would try every run of blanks."""
+    return F.btrim(c, F.lit(BLANK))
 
 
 def collapse(c: Column) -> Column:

@@ -31,6 +31,11 @@ def batch_summary(rows: DataFrame) -> DataFrame:
     )
 
 
+def united_summary(parts: DataFrame) -> DataFrame:
+    """The summary of all results, from the summaries of their parts."""
+    return parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in parts.columns])
+
+
 def counts(rows: DataFrame, by: str) -> DataFrame:
     return rows.groupBy(F.coalesce(by, F.lit("unknown")).alias(by)).agg(F.count("*").alias("documents"))
 

@@ -182,17 +182,19 @@ def route_lines(c: Column, benefit_line: str = P.BENEFIT_LINE, cues: str = P.BEN
     side = lambda left, right: F.struct(left.alias("left"), right.alias("right"))
     lines = F.filter(F.transform(F.split(c, "\n"), t.strip), lambda x: F.length(x) >= 5)
     long = lambda x: F.when(F.length(x) > 5, x)
+    # A pattern runs once: what it splits gets a mark between its groups, a character that no text has.
+    mark = "\uffff"
+    cut = lambda x, pattern: F.split(F.regexp_replace(x, t.rx(pattern), f"$1{mark}$2"), mark, 2)
+    part = lambda parts, i: t.strip(F.get(parts, F.lit(i)))
+    nothing = F.lit(None).cast("string")
 
     def route(x: Column) -> Column:
-        phrase, cue = rf"^(.+?)\s+({benefit_line})$", rf"^(.{{20,}}?)\s+((?:{cues}).*)$"
+        phrase, cue = rf"^(.+?)\s+(?:({benefit_line}))$", rf"^(.{{20,}}?)\s+((?:{cues}).*)$"
+        words = F.when(t.matches(x, right_words), side(nothing, x)).otherwise(side(x, nothing))
+        by_cue = t.let(cut(x, cue), lambda p: F.when(F.size(p) > 1, side(part(p, 0), part(p, 1))).otherwise(words))
+        by_phrase = t.let(cut(x, phrase), lambda p: F.when(F.size(p) > 1, side(long(part(p, 0)), long(part(p, 1)))).otherwise(by_cue))
         bar = F.split(x, r"\|", 2)
-        return (
-            F.when(x.contains("|"), side(t.strip(F.get(bar, F.lit(0))), t.strip(F.get(bar, F.lit(1)))))
-            .when(t.matches(x, phrase), side(long(t.strip(F.regexp_extract(x, t.rx(phrase), 1))), long(t.strip(F.regexp_extract(x, t.rx(phrase), 2)))))
-            .when(t.matches(x, cue), side(t.strip(F.regexp_extract(x, t.rx(cue), 1)), t.strip(F.regexp_extract(x, t.rx(cue), 2))))
-            .when(t.matches(x, right_words), side(F.lit(None).cast("string"), x))
-            .otherwise(side(x, F.lit(None).cast("string")))
-        )
+        return F.when(x.contains("|"), side(part(bar, 0), part(bar, 1))).otherwise(by_phrase)
 
     return F.transform(lines, route)
 

@@ -528,14 +528,13 @@ def sentence_split(spark, d):
 
 
 @query(
-    """WITH x AS (SELECT doc_id, chr(10) || text AS x FROM documents), s AS (SELECT doc_id, x, regexp_matches(x, '(?i)\\n\\s*(?:\\d+[.):]\\s+|[a-z]{2,3}\\s)') AS has, list_transform(string_split(regexp_replace(x, '(?i)\\n\\s*((?:\\d+[.):]\\s+|[a-z]{2,3}\\s))', chr(1) || '\\1', 'g'), chr(1)), lambda z: regexp_replace(z, '^\\s+|\\s+$', '', 'g')) AS l FROM x)
-SELECT doc_id, len(list_filter(l, lambda z: length(z) >= 20))::INT AS n FROM s WHERE has"""
+    f"""WITH x AS (SELECT doc_id, chr(10) || text AS x FROM documents), s AS (SELECT doc_id, x, regexp_matches(x, '(?i)\\n\\s*(?:\\d+[.):]\\s+|[a-z]{{2,3}}\\s)') AS has, list_transform(string_split(regexp_replace(x, '(?i)\\n\\s*((?:\\d+[.):]\\s+|[a-z]{{2,3}}\\s))', chr(1) || '\\1', 'g'), chr(1)), lambda z: regexp_replace(z, '^\\s+|\\s+$', '', 'g')) AS l FROM x)
+SELECT doc_id, len(list_filter(l, lambda z: length(z) >= 20 AND NOT {sql_any("lower(z)", PT.ONLY_STARTS)}))::INT AS n FROM s WHERE has"""
 )
 def delimiter_rows(spark, d):
     marks = (r"\d+[.):]\s+", r"[a-z]{2,3}\s")
     has = F.concat(F.lit("\n"), "text").rlike(t.rx(r"\n\s*(?:\d+[.):]\s+|[a-z]{2,3}\s)"))
-    cut = F.filter(F.transform(F.split(F.regexp_replace(F.concat(F.lit("\n"), "text"), t.rx(r"\n\s*(?=" + "|".join(f"(?:{m})" for m in marks) + ")"), "\x01"), "\x01"), t.strip), lambda z: F.length(z) >= 20)
-    return read(spark, d, "documents").where(has).select("doc_id", F.size(cut).alias("n"))
+    return read(spark, d, "documents").where(has).select("doc_id", F.size(R.by_delimiters(F.col("text"), marks)).alias("n"))
 
 
 @query()

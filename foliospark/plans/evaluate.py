@@ -97,7 +97,9 @@ def batch(spark: SparkSession, folder: str, out: str, log_dir: str | None = None
     failed = recognised.where("error is not null").count()
     if failed:
         log.warning("%s pages could not be recognised", failed)
-    results = X.run(texts, PDF.page_tables(files) if PDF.capabilities()["pdf_text"] else None, words, docs=files.select("doc_id"), recognised=recognised)
+    tables = PDF.page_tables(files) if PDF.executor_capabilities(spark).first()["pdf_text"] else None
+    broken = pages.where("error is not null").selectExpr("doc_id", "error", "cast(null as string) as traceback")
+    results = X.run(texts, tables, words, docs=files.select("doc_id"), recognised=recognised, failures=broken, extracted_at=datetime.now().isoformat(timespec="seconds"))
     results.write.mode("overwrite").parquet(f"{target}/results")
     results = spark.read.parquet(f"{target}/results")
     IO.write_results(results.drop("status_detail"), f"{target}/json")

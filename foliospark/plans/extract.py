@@ -121,10 +121,10 @@ def pages_to_recognise(pages: DataFrame, docs: DataFrame | None = None, o: Optio
     return kinds.where("document_type <> 'electronic'").select("doc_id", F.explode(read).alias("page_num"))
 
 
-def structure(extracted: DataFrame, classified: DataFrame, o: Options = DEFAULT) -> DataFrame:
+def structure(extracted: DataFrame, classified: DataFrame, o: Options = DEFAULT, extracted_at: str | None = None) -> DataFrame:
     """Result documents (see ``sources.results.schema``), one for each classified document, and status_detail."""
     d = classified.join(extracted, "doc_id", "left")
-    for name, kind in (("section_page", "int"), ("quality", "string"), ("status_detail", "string"), ("error", "string"), ("confidence", "string"), ("form_pages", "array<int>"), ("pages_searched", "array<int>")):
+    for name, kind in (("section_page", "int"), ("quality", "string"), ("status_detail", "string"), ("error", "string"), ("traceback", "string"), ("confidence", "string"), ("form_pages", "array<int>"), ("pages_searched", "array<int>")):
         if name not in d.columns:
             d = d.withColumn(name, F.lit(None).cast(kind))
     name = IO.parse_file_name(F.col("doc_id").cast("string"), o)
@@ -137,12 +137,12 @@ def structure(extracted: DataFrame, classified: DataFrame, o: Options = DEFAULT)
         F.coalesce("confidence", F.lit("low")).alias("location_confidence"),
         F.col("extraction_method"),
         F.coalesce(F.col("pages_searched").cast("array<int>"), F.array().cast("array<int>")).alias("pages_searched"),
-        null.cast("string").alias("extracted_at"),
+        F.lit(extracted_at).cast("string").alias("extracted_at"),
         F.col("page_count").cast("int").alias("document_page_count"),
         F.col("avg_chars_per_page").cast("double").alias("avg_chars_per_page"),
         F.col("quality").alias("ocr_confidence"),
         F.col("error"),
-        null.cast("string").alias("traceback"),
+        F.col("traceback"),
         null.cast("double").alias("processing_time"),
     )
     text = lambda c: F.coalesce(c, F.lit(""))
@@ -158,12 +158,13 @@ def structure(extracted: DataFrame, classified: DataFrame, o: Options = DEFAULT)
     )
 
 
-def run(pages: DataFrame, tables: DataFrame | None = None, words: DataFrame | None = None, docs: DataFrame | None = None, o: Options = DEFAULT, recognised: DataFrame | None = None) -> DataFrame:
+def run(pages: DataFrame, tables: DataFrame | None = None, words: DataFrame | None = None, docs: DataFrame | None = None, o: Options = DEFAULT, recognised: DataFrame | None = None, failures: DataFrame | None = None, extracted_at: str | None = None) -> DataFrame:
     """Page texts (doc_id, page_num, text) of any documents -> result documents.
 
     Documents with a text layer on every page go by tables and text; the others are read as recognised ones.
     recognised (doc_id, page_num, text, error) stands in for those pages' text layer, which alone
     says what kind a document is; a document of which no page could be recognised says so.
+    failures (doc_id, error, traceback): documents that couldn't be read, status ``error``, type ``unknown``.
     """
     classified = P.classify(pages, docs, o.page_chars)
     found = L.find_form_pages(pages).select("doc_id", "form_pages", "confidence", F.col("section_page").alias("located"))
@@ -182,7 +183,12 @@ def run(pages: DataFrame, tables: DataFrame | None = None, words: DataFrame | No
         told = F.when(lost, F.concat(F.lit("No page could be recognised: "), F.col("failure"))).otherwise(F.col("error"))
         by_ocr = by_ocr.withColumn("status_detail", F.when(lost, "not_recognised").otherwise(F.col("status_detail"))).withColumn("error", told).drop("failure")
     extracted = by_text.unionByName(by_ocr, allowMissingColumns=True).join(found, "doc_id", "left").withColumn("section_page", F.coalesce("section_page", "located"))
-    return structure(extracted, classified, o)
+    if failures is not None:
+        broken = failures.groupBy("doc_id").agg(F.min(F.struct("error", "traceback")).alias("broken"))
+        classified = classified.join(broken, "doc_id", "left").withColumn("document_type", F.when(F.col("broken").isNotNull(), "unknown").otherwise(F.col("document_type")))
+        classified = classified.withColumn("traceback", F.col("broken.traceback"))
+        extracted = extracted.join(broken.withColumnRenamed("broken", "b"), "doc_id", "full").withColumn("error", F.coalesce("b.error", "error")).withColumn("status_detail", F.when(F.col("b").isNotNull(), "not_readable").otherwise(F.col("status_detail"))).drop("b")
+    return structure(extracted, classified, o, extracted_at)
 
 
 def run_one(pages: DataFrame, doc_id, **kw) -> DataFrame:

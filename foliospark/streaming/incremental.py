@@ -38,8 +38,15 @@ def start(stream: DataFrame, out: str, checkpoint: str, extract=None) -> Streami
         spark = batch.sparkSession
         rows = classify_rows(batch).drop("pages") if extract is None else extract(batch.select("doc_id", F.explode("pages").alias("p")).select("doc_id", "p.*"))
         rows.write.mode("overwrite").parquet(f"{out}/results/batch={batch_id}")
-        done = spark.read.option("mergeSchema", "true").parquet(f"{out}/results")
-        summary = done.groupBy("document_type").agg(F.count("*").alias("documents")) if extract is None else M.batch_summary(M.flat(done))
-        summary.write.mode("overwrite").parquet(f"{out}/summary")
+        # Each batch adds its own counts; the summary is made of those, not of all results again.
+        done = spark.read.parquet(f"{out}/results/batch={batch_id}")
+        own = done.groupBy("document_type").agg(F.count("*").alias("documents")) if extract is None else M.batch_summary(M.flat(done))
+        own.coalesce(1).write.mode("overwrite").parquet(f"{out}/counts/batch={batch_id}")
+        counts = spark.read.parquet(f"{out}/counts").drop("batch")
+        if extract is None:
+            summary = counts.groupBy("document_type").agg(F.sum("documents").alias("documents"))
+        else:
+            summary = M.united_summary(counts)
+        summary.coalesce(1).write.mode("overwrite").parquet(f"{out}/summary")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

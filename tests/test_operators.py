@@ -359,7 +359,8 @@ def test_batch_recognises_scans(spark, tmp_path, monkeypatch):
     (tmp_path / "in/00000001.pdf").write_text("|".join(scan))
     (tmp_path / "in/00000002.pdf").write_text("broken|broken")
     # No page has a text layer.
-    layer = [("00000001.pdf", n, "", None) for n in (1, 2, 3)] + [("00000002.pdf", n, "", None) for n in (1, 2)]
+    layer = [("00000001.pdf", n, "", None) for n in (1, 2, 3)] + [("00000002.pdf", n, "", None) for n in (1, 2)] + [("00000003.pdf", None, "", "SyntaxError: no PDF")]
+    (tmp_path / "in/00000003.pdf").write_text("x")
     monkeypatch.setattr(E.PDF, "page_texts", lambda files: spark.createDataFrame(layer, pdf.PAGES))
     monkeypatch.setattr(E.PDF, "capabilities", lambda: {"pdf_text": False})
     assert E.batch(spark, str(tmp_path / "in"), str(tmp_path / "out"), dated=False)["success"] == 1
@@ -368,6 +369,9 @@ def test_batch_recognises_scans(spark, tmp_path, monkeypatch):
     assert good.document_type == bad.document_type == "scanned" and good.extraction_metadata.cic36_page == 3
     assert "dance class" in good.section_b.activities[0].activity and good.extraction_metadata.extraction_method == "ocr"
     assert bad.status_detail == "not_recognised" and "no page" in bad.extraction_metadata.error
+    lost = rows["00000003"]
+    assert (lost.document_type, lost.extraction_status, lost.status_detail, lost.extraction_metadata.error) == ("unknown", "error", "not_readable", "SyntaxError: no PDF")
+    assert all(r.extraction_metadata.extracted_at for r in rows.values())
     words = spark.read.parquet(str(tmp_path / "out/words"))
     assert words.columns == [x.split()[0] for x in pdf.LAYOUT_WORDS.split(", ")]
     assert words.where("doc_id = '00000001.pdf' and page_num = 1").count() == len(scan[0].split()) and {r.conf for r in words.collect()} == {91}
