@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import shutil
 from datetime import datetime
 from pathlib import Path
 
@@ -64,6 +65,20 @@ def sample(results: DataFrame, path: str, size: int = 50, seed: int = 0, stratif
     return sheet
 
 
+def copy_sample(rows: DataFrame, folder: str, target: str) -> list[str]:
+    """Copies the files that a sample names (``extraction_metadata.source_file``) out of a local folder; gives the names that aren't there."""
+    Path(target).mkdir(parents=True, exist_ok=True)
+    missing = []
+    # A sample is as large as was asked for, so its names come to the driver.
+    for r in rows.selectExpr("extraction_metadata.source_file AS name").distinct().orderBy("name").collect():
+        found = Path(folder, Path(r["name"] or "").name)
+        if r["name"] and found.is_file():
+            shutil.copy2(found, target)
+        else:
+            missing.append(r["name"])
+    return missing
+
+
 def accuracy(sheet: DataFrame, k: int = 3) -> dict:
     """Of a completed worksheet."""
     out = M.match_accuracy(sheet, [f"is_match_{i}" for i in range(1, k + 1)]).first().asDict()

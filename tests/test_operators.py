@@ -383,6 +383,15 @@ def test_batch_recognises_scans(spark, tmp_path, monkeypatch):
     assert r.extraction_method == "ocr_enhanced" and "dance class" in r.activities[0].activity
 
 
+def test_sampled_files_are_copied(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.pdf").write_text("a")
+    rows = spark.createDataFrame([(("a.pdf",),), (("a.pdf",),), (("gone.pdf",),), ((None,),)], "extraction_metadata struct<source_file:string>")
+    assert E.copy_sample(rows, str(tmp_path / "in"), str(tmp_path / "out")) == [None, "gone.pdf"]
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["a.pdf"]
+    assert E.copy_sample(rows.where("false"), str(tmp_path / "in"), str(tmp_path / "none")) == []
+
+
 def test_options_are_frozen():
     with pytest.raises(Exception):
         Options().page_chars = 3
