@@ -115,7 +115,8 @@ def standalone_section(pages: DataFrame, used: DataFrame, parse, starts: Sequenc
     rest = pages.join(used.select("doc_id", "page_num"), ["doc_id", "page_num"], "left_anti")
     tries = F.array(*[t.until_first_listed(t.after(text, p), ends) for p in starts])
     tries = F.filter(tries, lambda x: F.length(t.strip(x)) > 50)
-    found = rest.withColumn("part", F.explode(tries)).withColumn("activities", parse(F.col("part")))
+    found = rest.select("doc_id", "page_num", F.posexplode(tries).alias("heading", "part")).withColumn("activities", parse(F.col("part")))
     found = found.where((F.size("activities") > 0) & ~is_referential(F.col("activities")))
-    one = found.groupBy("doc_id").agg(F.min_by(F.struct("page_num", "activities"), "page_num").alias("x"))
+    # Several headings may match one page; the first listed one counts.
+    one = found.groupBy("doc_id").agg(F.min_by(F.struct("page_num", "activities"), F.struct("page_num", "heading")).alias("x"))
     return one.select("doc_id", "x.page_num", "x.activities")

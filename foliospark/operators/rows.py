@@ -283,11 +283,13 @@ def parse_section(c: Column) -> Column:
     return t.let(S.strip_boilerplate(c), lambda x: F.when(x == "", _no_entries()).otherwise(entries(x)))
 
 
-def parse_layout(pages: Column, linear: Column, raw: Column | None = None, leading: Sequence[str] = P.LEADING_NOISE) -> Column:
+def parse_layout(pages: Column, linear: Column, raw: Column | None = None, parsed: Column | None = None, leading: Sequence[str] = P.LEADING_NOISE) -> Column:
     """array<ENTRY> from array<struct<page_num, has_two_columns, left, right, linear_text>> in page order.
 
-    Left columns make the activity and right ones the benefit; too short ones fall back to the linear text.
+    Left columns make the activity and right ones the benefit; too short ones fall back to the
+    linear text, whose entries may be given as ``parsed``.
     """
+    parsed = parse_section(linear) if parsed is None else parsed
     raw = linear if raw is None else raw
     left = F.transform(pages, lambda p: F.when(p["has_two_columns"], S.clean_column(p["left"], True)).otherwise(t.text_of(p["linear_text"])))
     right = F.transform(pages, lambda p: F.when(p["has_two_columns"], S.clean_column(p["right"], False)).otherwise(""))
@@ -297,7 +299,7 @@ def parse_layout(pages: Column, linear: Column, raw: Column | None = None, leadi
     def choose(v: Column) -> Column:
         a, b = v["a"], v["b"]
         weak = ((a == "") & (b == "")) | ((a != "") & (F.length(a) < 50)) | ((b != "") & (F.length(b) < 20))
-        kept = F.transform(parse_section(linear), lambda e, i: F.when((i == 0) & (v["surplus"] != ""), e.withField("surplus_use", v["surplus"])).otherwise(e))
+        kept = F.transform(parsed, lambda e, i: F.when((i == 0) & (v["surplus"] != ""), e.withField("surplus_use", v["surplus"])).otherwise(e))
         return F.when(weak, kept).otherwise(F.array(_entry(pair(a, b), v["differs"], v["surplus"], "medium")))
 
     return F.when(F.coalesce(F.size(pages), F.lit(0)) <= 0, _no_entries()).otherwise(t.let(told, choose))

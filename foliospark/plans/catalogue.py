@@ -26,7 +26,7 @@ from ..operators import slices as X
 from ..options import Options
 from ..sources import results as IO
 from ..streaming import incremental
-from . import extract
+from . import extract, forms
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -823,6 +823,37 @@ def extraction_results(spark, d):
     return out.select(F.col("extraction_metadata.source_file").alias("source_file"), "document_type", "extraction_status", F.size("section_b.activities").alias("activities"), "status_detail", F.col("extraction_metadata.error").alias("error"))
 
 
+@query(
+    f"""WITH f AS (SELECT lpad(c_custkey::VARCHAR, 8, '0') AS no, (c_custkey % {len(forms.KINDS)})::INT AS kind, lower(c_mktsegment) AS w FROM customer),
+x AS (SELECT *, 'new ' || w || ' tools.' AS surplus, 'it is owned by its ' || w || ' workers.' AS differs, 'people of the valley who work with ' || w AS people FROM f)
+SELECT no AS company_number, no || '.pdf' AS source_file,
+CASE WHEN kind < 2 THEN 'electronic' WHEN kind = 2 THEN 'hybrid' WHEN kind = 11 THEN 'unknown' ELSE 'scanned' END AS document_type,
+CASE WHEN kind IN (6, 7, 8, 10, 11) THEN 'error' ELSE 'success' END AS extraction_status,
+CASE kind WHEN 6 THEN 'no_form_found' WHEN 7 THEN 'section_not_found' WHEN 8 THEN 'wrong_section' WHEN 9 THEN 'ocr_quality_issue' WHEN 10 THEN 'not_recognised' WHEN 11 THEN 'not_readable' END AS status_detail,
+CASE kind WHEN 6 THEN 'No form found in document' WHEN 7 THEN 'Form found on page 1 but no section behind it' WHEN 8 THEN 'Wrong section detected - other form''s content' WHEN 10 THEN 'No page could be recognised: ValueError: no image' WHEN 11 THEN 'SyntaxError: no PDF' END AS error,
+CASE kind WHEN 0 THEN 'text_fallback' WHEN 1 THEN 'table' WHEN 2 THEN 'ocr' WHEN 3 THEN 'ocr' WHEN 4 THEN 'ocr_standalone' WHEN 5 THEN 'ocr_layout' WHEN 8 THEN 'ocr' WHEN 9 THEN 'ocr_alternative' END AS extraction_method,
+CASE WHEN kind IN (6, 7, 10, 11) THEN NULL ELSE 2 END::INT AS section_page,
+CASE kind
+WHEN 0 THEN 'We teach ' || w || ' to adults. We lend ' || w || ' to schools. Our company differs from a general commercial company because ' || differs || ' If the company makes any surplus it will be used for ' || surplus || ' => '
+WHEN 1 THEN 'Classes in ' || w || ' => Skills for adults; Loans of ' || w || ' => Tools for schools'
+WHEN 2 THEN 'We run a weekly ' || w || ' class in the village hall for all ages. ' || differs || ' => learning ' || w || ' skills all year.'
+WHEN 3 THEN 'If the company makes any surplus it will be used for ' || surplus || ' => ; 1. We teach ' || w || ' to adults. => It helps people find work.; 2. We lend ' || w || ' to schools. => Pupils learn to use it.'
+WHEN 4 THEN 'We repair ' || w || ' for poor families of the valley. => saving money on repairs.'
+WHEN 5 THEN 'We run a weekly ' || w || ' class for adults in the village hall on every Monday evening => People of the valley learn a trade and earn more in it than before'
+WHEN 9 THEN ' => Hire of ' || w ELSE '' END AS rows,
+CASE WHEN kind IN (0, 5) THEN differs ELSE '' END AS company_differs,
+CASE WHEN kind = 3 THEN surplus || ' 1. We teach ' || w || ' to adults. It helps people find work. 2. We lend ' || w || ' to schools. Pupils learn to use it.' WHEN kind IN (0, 1, 2, 4, 5, 8) THEN surplus ELSE '' END AS surplus_use,
+CASE WHEN kind IN (0, 2, 3, 4, 5, 7, 8, 9) THEN people ELSE '' END AS beneficiaries FROM x"""
+)
+def form_results(spark, d):
+    """The whole extraction over forms made of customers: tables, text, recognised text, layouts, references and every failure."""
+    docs = forms.documents(read(spark, d, "customer"))
+    out = extract.run(forms.text_layer(docs), forms.tables(docs), forms.word_boxes(docs), docs.select("doc_id"), recognised=forms.recognised(docs), failures=forms.failures(docs))
+    meta = F.col("extraction_metadata")
+    rows = F.array_join(F.transform("section_b.activities", lambda a: F.concat_ws(" => ", a["activity"], a["description"])), "; ")
+    return out.select("company_number", meta["source_file"].alias("source_file"), "document_type", "extraction_status", "status_detail", meta["error"].alias("error"), meta["extraction_method"].alias("extraction_method"), meta["cic36_page"].alias("section_page"), rows.alias("rows"), "section_b.company_differs", "section_b.surplus_use", "section_a.beneficiaries")
+
+
 _SQL_CATEGORY = f"CASE WHEN {sql_has('lower(a || c)', PT.WRONG_MARKERS)} THEN 'wrong_section' WHEN {sql_has('a || c', PT.ARTIFACTS)} THEN 'ocr_errors' WHEN {_sql_cut('a')} OR {_sql_cut('c')} THEN 'truncated' WHEN (a = '') <> (c = '') THEN 'partial_extraction' ELSE 'success' END"
 
 

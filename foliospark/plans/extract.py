@@ -64,16 +64,19 @@ def extract_recognised(pages: DataFrame, words: DataFrame | None = None, o: Opti
     heads = heads.select("doc_id", "start_page", F.coalesce(F.nullif(X.ocr_beneficiaries(F.col("t1")), F.lit("")), X.ocr_beneficiaries(F.col("t2")), F.lit("")).alias("beneficiaries"))
 
     section = P.joined_text(P.chosen_pages(pages, span)).join(span.groupBy("doc_id").agg(F.min("header_page").alias("section_page")), "doc_id")
-    text = X.strip_boilerplate(F.col("text"))
+    # Two steps, so that the parser stands in the plan once.
+    section = section.withColumn("raw", F.col("text")).withColumn("text", X.strip_boilerplate(F.col("text")))
+    section = section.withColumn("plain", R.parse_section(F.col("text")))
     if words is not None:
         boxes = R.layout(words, o).join(span.select("doc_id", "page_num"), ["doc_id", "page_num"])
         boxes = boxes.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_num", "has_two_columns", "left", "right", "linear_text"))).alias("boxes"))
         section = section.join(boxes, "doc_id", "left")
         two = F.coalesce(F.exists("boxes", lambda b: b["has_two_columns"]), F.lit(False))
-        parsed, method = F.when(two, R.parse_layout(F.col("boxes"), text, F.col("text"))).otherwise(R.parse_section(text)), F.when(two, "ocr_layout").otherwise("ocr")
+        parsed = F.when(two, R.parse_layout(F.col("boxes"), F.col("text"), F.col("raw"), F.col("plain"))).otherwise(F.col("plain"))
+        method = F.when(two, "ocr_layout").otherwise("ocr")
     else:
-        parsed, method = R.parse_section(text), F.lit("ocr")
-    section = section.select("doc_id", "section_page", text.alias("text"), parsed.alias("entries"), method.alias("method"), S.ocr_quality(text).alias("quality"), S.likely_handwritten(text).alias("handwritten"))
+        parsed, method = F.col("plain"), F.lit("ocr")
+    section = section.select("doc_id", "section_page", "text", parsed.alias("entries"), method.alias("method"), S.ocr_quality(F.col("text")).alias("quality"), S.likely_handwritten(F.col("text")).alias("handwritten"))
     section = section.withColumn("activities", F.transform("entries", lambda e: R.pair(e["activity"], e["benefit"])))
 
     refers = section.where(R.is_referential(F.col("activities"))).select("doc_id")
