@@ -7,6 +7,7 @@ documents for activities and benefits, cells between bars for tables.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -537,10 +538,38 @@ def delimiter_rows(spark, d):
     return read(spark, d, "documents").where(has).select("doc_id", F.size(R.by_delimiters(F.col("text"), marks)).alias("n"))
 
 
-@query()
+def sql_describe(x: str, markers) -> str:
+    """CTE ``h`` out of ``seg_`` (doc_id, pos, x): each entry as its two halves around a marker, or of its sentences."""
+    return f"""y AS (SELECT doc_id, pos, {sql_strip(sql_collapse(x))} AS x FROM seg_), f AS (SELECT doc_id, pos, CASE {" ".join(f"WHEN {sql_match('x', p)} THEN {sql_strip(sql_before('x', p))}" for p in markers)} ELSE x END AS a, CASE {" ".join(f"WHEN {sql_match('x', p)} THEN {sql_strip(sql_after('x', p))}" for p in markers)} ELSE '' END AS b FROM y),
+s AS (SELECT *, string_split(a, '.') AS l FROM f), t AS (SELECT *, {sql_strip("array_to_string(l[1:len(l) // 2], '. ')")} AS head, {sql_strip("array_to_string(l[len(l) // 2 + 1:], '. ')")} AS tail FROM s),
+h AS (SELECT doc_id, pos, CASE WHEN b = '' AND contains(a, '.') THEN CASE WHEN head <> '' AND NOT ends_with(head, '.') THEN head || '.' ELSE head END ELSE a END AS activity, CASE WHEN b = '' AND contains(a, '.') THEN tail ELSE b END AS benefit FROM t)"""
+
+
+def _sql_told(x: str) -> str:
+    n = sql_count("lower(z)", PT.ONLY_INDICATORS)
+    return f"list_filter({x}, lambda z: length(z) >= 20 AND NOT ({sql_any(sql_strip('lower(z)'), PT.ONLY_STARTS)} OR ({n} >= 2 AND length(z) < 500) OR ({n} >= 1 AND length(z) < 200)))"
+
+
+def _sql_entry(x: str) -> str:
+    return sql_strip(sql_remove(sql_remove(f"regexp_replace(regexp_replace({x}, '[|¦]', '', 'g'), '\\s+', ' ', 'g')", _DASH, ""), [r"\([^)]*tell\s+us[^)]*\)", r"\([^)]*community\s+will\s+benefit\s+by[^)]*\)"]))
+
+
+#: The delimiters for a dialect that can't look ahead: line ends get a mark before them, so that a match may
+#: take the mark behind a delimiter and leave the line end to the next one.
+_ROW_MARK = r"(?i)\n[\s\x02]*(" + "|".join(re.sub(r"\\s([*+])", r"[\\s\\x02]\1", re.sub(r"\\s\+$", r"[\\s\\x02]", p.replace("(?=[A-Z])", "[A-Z]"))) for p in PT.ROW_DELIMITERS) + ")"
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, regexp_replace(text, '([.!?]) +([A-Z])', '\\1' || chr(10) || '2. \\2', 'g') AS text FROM documents), x AS (SELECT doc_id, replace(chr(10) || text, chr(10), chr(2) || chr(10)) AS x, text FROM d), m AS (SELECT *, regexp_matches(x, {q(_ROW_MARK)}) AS marked FROM x),
+p AS (SELECT doc_id, marked, CASE WHEN marked THEN string_split(regexp_replace(x, {q(_ROW_MARK)}, chr(1) || '\\1', 'g'), chr(1)) ELSE string_split(regexp_replace(text, '\\n\\s*\\n+', chr(1), 'g'), chr(1)) END AS l FROM m),
+k AS (SELECT doc_id, {_sql_told(f"list_transform(l, lambda z: {sql_strip('replace(z, chr(2), %s)' % repr(''))})")} AS l, marked FROM p WHERE marked OR len(l) > 1),
+seg_ AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS pos FROM (SELECT doc_id, CASE WHEN marked THEN l ELSE list_filter(l, lambda z: length(z) >= 30) END AS l FROM k)),
+{sql_describe("x", PT.BENEFIT_MARKS)}, o AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS pos, activity, benefit FROM h WHERE activity <> '' OR benefit <> '')
+SELECT doc_id, pos::INT AS pos, {_sql_entry("activity")} AS activity, {_sql_entry("benefit")} AS benefit FROM o"""
+)
 def described_rows(spark, d):
-    """Rows by delimiters or paragraphs, each described; markers and halves of sentences nest too deep for one SQL text."""
-    rows = R.by_delimiters(F.col("text"))
+    """Rows by delimiters or paragraphs, each described; sentences get a number and a line of their own first."""
+    rows = R.by_delimiters(F.regexp_replace("text", "([.!?]) +([A-Z])", "$1\n2. $2"))
     return read(spark, d, "documents").select("doc_id", F.posexplode(rows).alias("pos", "p")).select("doc_id", "pos", "p.*")
 
 
