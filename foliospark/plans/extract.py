@@ -127,12 +127,11 @@ def pages_to_recognise(pages: DataFrame, docs: DataFrame | None = None, o: Optio
 def structure(extracted: DataFrame, classified: DataFrame, o: Options = DEFAULT, extracted_at: str | None = None) -> DataFrame:
     """Result documents (see ``sources.results.schema``), one for each classified document, and status_detail."""
     d = classified.join(extracted, "doc_id", "left")
-    for name, kind in (("section_page", "int"), ("quality", "string"), ("status_detail", "string"), ("error", "string"), ("traceback", "string"), ("confidence", "string"), ("form_pages", "array<int>"), ("pages_searched", "array<int>")):
+    for name, kind in (("section_page", "int"), ("quality", "string"), ("status_detail", "string"), ("error", "string"), ("traceback", "string"), ("confidence", "string"), ("form_pages", "array<int>"), ("pages_searched", "array<int>"), ("processing_time", "double")):
         if name not in d.columns:
             d = d.withColumn(name, F.lit(None).cast(kind))
     name = IO.parse_file_name(F.col("doc_id").cast("string"), o)
     acts = F.coalesce(F.transform("activities", lambda a: F.struct(a["activity"].alias("activity"), a["benefit"].alias("description"))), F.array().cast("array<struct<activity:string,description:string>>"))
-    null = F.lit(None)
     meta = F.struct(
         F.col("doc_id").cast("string").alias("source_file"),
         F.col("section_page").cast("int").alias("cic36_page"),
@@ -146,7 +145,7 @@ def structure(extracted: DataFrame, classified: DataFrame, o: Options = DEFAULT,
         F.col("quality").alias("ocr_confidence"),
         F.col("error"),
         F.col("traceback"),
-        null.cast("double").alias("processing_time"),
+        F.col("processing_time").cast("double").alias("processing_time"),
     )
     text = lambda c: F.coalesce(c, F.lit(""))
     return d.select(
@@ -166,7 +165,8 @@ def run(pages: DataFrame, tables: DataFrame | None = None, words: DataFrame | No
 
     Documents with a text layer on every page go by tables and text; the others are read as recognised ones.
     recognised (doc_id, page_num, text, error) stands in for those pages' text layer, which alone
-    says what kind a document is; a document of which no page could be recognised says so.
+    says what kind a document is; a document of which no page could be recognised says so.  Where
+    it has ``seconds`` too, their sum is the document's processing time.
     failures (doc_id, error, traceback): documents that couldn't be read, status ``error``, type ``unknown``.
     """
     classified = P.classify(pages, docs, o.page_chars)
@@ -185,6 +185,8 @@ def run(pages: DataFrame, tables: DataFrame | None = None, words: DataFrame | No
         lost = F.col("failure").isNotNull() & (F.size("activities") == 0)
         told = F.when(lost, F.concat(F.lit("No page could be recognised: "), F.col("failure"))).otherwise(F.col("error"))
         by_ocr = by_ocr.withColumn("status_detail", F.when(lost, "not_recognised").otherwise(F.col("status_detail"))).withColumn("error", told).drop("failure")
+        if "seconds" in recognised.columns:
+            classified = classified.join(recognised.groupBy("doc_id").agg(F.sum("seconds").alias("processing_time")), "doc_id", "left")
     extracted = by_text.unionByName(by_ocr, allowMissingColumns=True).join(found, "doc_id", "left").withColumn("section_page", F.coalesce("section_page", "located"))
     if failures is not None:
         broken = failures.groupBy("doc_id").agg(F.min(F.struct("error", "traceback")).alias("broken"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import importlib.util
 import io
 import shutil
+import time
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from ..options import DEFAULT, Options
 
 PAGES = "doc_id string, page_num int, text string, error string"
+#: Recognised pages, with the time that each took.
+RECOGNISED = f"{PAGES}, seconds double"
 TABLES = "doc_id string, page_num int, strategy int, table_idx int, cells array<array<string>>"
 LAYOUT_WORDS = "doc_id string, page_num int, page_width int, text string, left int, top int, width int, height int, conf int, line_num int, block_num int"
 #: Table strategies, each used only where the ones before found nothing.
@@ -105,6 +108,7 @@ def recognise(files: DataFrame, pages: DataFrame, o: Options = DEFAULT, preproce
         for b in batches:
             rows = []
             for doc_id, content, n in zip(b["doc_id"], b["content"], b["page_num"], strict=True):
+                began = time.perf_counter()
                 try:
                     import pytesseract
                     from pdf2image import convert_from_bytes
@@ -115,12 +119,13 @@ def recognise(files: DataFrame, pages: DataFrame, o: Options = DEFAULT, preproce
                             return pytesseract.image_to_string(enhance(image), config="--oem 3 --psm 6")
                         return pytesseract.image_to_string(prepare(image) if preprocess else image)
 
-                    rows.append((doc_id, int(n), text_at(o.enhanced_dpi) if enhanced else best_text(text_at, o), None))
+                    text, error = text_at(o.enhanced_dpi) if enhanced else best_text(text_at, o), None
                 except Exception as e:
-                    rows.append((doc_id, int(n), "", f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["doc_id", "page_num", "text", "error"])
+                    text, error = "", f"{type(e).__name__}: {e}"
+                rows.append((doc_id, int(n), text, error, time.perf_counter() - began))
+            yield pd.DataFrame(rows, columns=["doc_id", "page_num", "text", "error", "seconds"])
 
-    return wanted.mapInPandas(read, PAGES)
+    return wanted.mapInPandas(read, RECOGNISED)
 
 
 def layout_words(files: DataFrame, pages: DataFrame, o: Options = DEFAULT) -> DataFrame:

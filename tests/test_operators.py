@@ -372,6 +372,7 @@ def test_batch_recognises_scans(spark, tmp_path, monkeypatch):
     lost = rows["00000003"]
     assert (lost.document_type, lost.extraction_status, lost.status_detail, lost.extraction_metadata.error) == ("unknown", "error", "not_readable", "SyntaxError: no PDF")
     assert all(r.extraction_metadata.extracted_at for r in rows.values())
+    assert good.extraction_metadata.processing_time > 0 and bad.extraction_metadata.processing_time > 0 and lost.extraction_metadata.processing_time is None
     words = spark.read.parquet(str(tmp_path / "out/words"))
     assert words.columns == [x.split()[0] for x in pdf.LAYOUT_WORDS.split(", ")]
     assert words.where("doc_id = '00000001.pdf' and page_num = 1").count() == len(scan[0].split()) and {r.conf for r in words.collect()} == {91}
