@@ -35,11 +35,12 @@ def clean_text(c: Column, artifacts: Sequence[str] = P.ARTIFACTS, fixes: Sequenc
 
 
 def _bars(c: Column, by: str) -> Column:
-    return t.collapse(F.regexp_replace(t.text_of(c), "[|¦]", by))
+    return t.collapse(F.replace(F.replace(t.text_of(c), F.lit("|"), F.lit(by)), F.lit("¦"), F.lit(by)))
 
 
 def _dashes(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, r"(?U)^\s*[-–—]\s*", ""), r"(?U)\s*[-–—]\s*$", "")
+    cut = lambda x: F.regexp_replace(F.regexp_replace(x, r"(?U)^\s*[-–—]\s*", ""), r"(?U)\s*[-–—]\s*$", "")
+    return t.let(c, lambda x: F.when(t.contains_any(x, "-–—"), cut(x)).otherwise(x))
 
 
 def clean_activity(c: Column, drop_short_tail: bool = True) -> Column:

@@ -6,8 +6,9 @@ unless a function says otherwise.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,6 +39,76 @@ def matches(c: Column, pattern: str, extra: str = "") -> Column:
     return c.rlike(rx(pattern, extra))
 
 
+# ---------------------------------------------------------------- what a pattern can't do without
+
+#: Escapes that Python reads as Java does, and syntax that it doesn't or may not.
+_KNOWN = re.compile(r"\\[sSdDwWbBnrtf]|\\[^A-Za-z0-9]")
+_FOREIGN = re.compile(r"\\|&&|\[\^?\]|\[[^\]]*\[|\(\?(?!:|=|!|<=|<!)")
+#: What lower case leaves of the characters beyond ASCII that a case-insensitive pattern takes for i and s (that of the
+#: Kelvin sign is k).
+_FOLDED = ("\u0131", "\u0307", "\u017f")
+#: So many patterns in a row are tried together on a text that some pattern of the whole list may match.
+_CHUNK = 6
+
+
+def _sure(parsed) -> list[frozenset[str]]:
+    """Sets of lower-case words of a parsed pattern: one word of each set stands in whatever it matches."""
+    out, run = [], ""
+    for op, arg in [*parsed, (None, None)]:
+        if str(op) == "LITERAL" and arg < 128:
+            run += chr(arg).lower()
+            continue
+        if run:
+            out.append(frozenset([run]))
+            run = ""
+        if str(op) == "SUBPATTERN":
+            out += _sure(arg[3])
+        elif str(op) in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT") and arg[0] > 0:
+            out += _sure(arg[2])
+        elif str(op) == "BRANCH":
+            each = [max(_sure(a), key=_worth, default=None) for a in arg[1]]
+            if None not in each:
+                out.append(frozenset().union(*each))
+    return out
+
+
+def _worth(words: frozenset[str]) -> tuple[float, list[str]]:
+    """Long words are rare, and each one costs a search."""
+    return min(min(map(len, words)), 9) ** 2 / len(words), sorted(words)
+
+
+@cache
+def _words_of(pattern: str) -> tuple[frozenset[str], ...]:
+    pattern = pattern.replace(r"\z", "$")
+    if _FOREIGN.search(_KNOWN.sub("a", pattern)):
+        return ()
+    try:
+        return tuple(_sure(re._parser.parse(pattern)))
+    except (re.error, AttributeError, OverflowError):
+        return ()
+
+
+@cache
+def needed(patterns: tuple[str, ...]) -> tuple[str, ...] | None:
+    """Few lower-case words, one of which stands in every text that any of the patterns matches; null if that can't be said."""
+    left = [_words_of(p) for p in patterns]
+    if not all(left):
+        return None
+    chosen: set[str] = set()
+    met = lambda sets, words: any(all(any(w in x for w in words) for x in s) for s in sets)
+    while left := [sets for sets in left if not met(sets, chosen)]:
+        chosen |= max({s for sets in left for s in sets}, key=lambda s: (sum(met(sets, s) for sets in left) * _worth(s)[0], sorted(s)))
+    return tuple(sorted(w for w in chosen if not any(v != w and v in w for v in chosen)))
+
+
+def possible(c: Column, patterns: Sequence[str]) -> Column:
+    """False only where none of the patterns can match: a search for a few words costs far less than the patterns do."""
+    words = needed(tuple(patterns))
+    if words is None:
+        return F.lit(True)
+    return let(F.lower(c), lambda low: contains_any(low, [*words, *_FOLDED]))
+
+
 def any_match(c: Column, patterns: Sequence[str], extra: str = "") -> Column:
     """Existence only, so one alternation is enough."""
     return c.rlike(rx("|".join(f"(?:{p})" for p in patterns), extra)) if patterns else F.lit(False)
@@ -45,7 +116,7 @@ def any_match(c: Column, patterns: Sequence[str], extra: str = "") -> Column:
 
 def starts(c: Column, patterns: Sequence[str]) -> Column:
     """Any pattern matches at the beginning."""
-    return any_match(c, [f"^(?:{p})" for p in patterns])
+    return matches(c, "^(?:" + "|".join(f"(?:{p})" for p in patterns) + ")") if patterns else F.lit(False)
 
 
 def count_matching(c: Column, patterns: Sequence[str], extra: str = "") -> Column:
@@ -77,7 +148,38 @@ def words(c: Column) -> Column:
 
 def remove_each(c: Column, patterns: Sequence[str], extra: str = "", by: str = "") -> Column:
     """Every occurrence of each pattern goes, pattern after pattern; the order matters."""
-    return reduce(lambda t, p: F.regexp_replace(t, rx(p, extra), by), patterns, c)
+    each = lambda x, some: reduce(lambda t, p: F.regexp_replace(t, rx(p, extra), by), some, x)
+    # Looking for words costs about as much as two patterns.
+    if len(patterns) < 4 or needed(tuple(patterns)) is None:
+        return each(c, patterns)
+    return _removed_in_turn(c, list(patterns), each)
+
+
+def _removed_in_turn(c: Column, patterns: list[str], each) -> Column:
+    """Some patterns after the others, each few only on a text that has their words.
+
+    One aggregate for all of them: with a ``let`` each, the analyzer would run out of iterations.  Its
+    first turn looks for words of the whole list.
+    """
+    if len(patterns) <= _CHUNK:
+        return let(c, lambda x: F.when(possible(x, patterns), each(x, patterns)).otherwise(x))
+    chunks = [patterns[i : i + _CHUNK] for i in range(0, len(patterns), _CHUNK)]
+    has = lambda low, some: contains_any(low, [*needed(tuple(some)), *_FOLDED])
+    state = lambda text, go: F.struct(text.alias("text"), go.alias("go"))
+
+    def turn(acc: Column, i: Column) -> Column:
+        text = acc["text"]
+
+        def chosen(low: Column) -> Column:
+            out = acc
+            for k, some in enumerate(chunks):
+                out = F.when((i == k) & has(low, some), state(each(text, some), acc["go"])).otherwise(out)
+            return F.when(i < 0, state(text, has(low, patterns))).otherwise(out)
+
+        return let(F.when(acc["go"], F.lower(text)), chosen)
+
+    turns = F.array(*[F.lit(i) for i in range(-1, len(chunks))])
+    return F.aggregate(turns, state(c, F.lit(True)), turn, lambda acc: acc["text"])
 
 
 def drop_literals(c: Column, literals: Sequence[str]) -> Column:
@@ -101,25 +203,26 @@ def until_first_listed(c: Column, ends: Sequence[str]) -> Column:
         out = x
         for p in reversed(ends):
             out = F.when(matches(x, p), before(x, p)).otherwise(out)
-        return out
+        return F.when(possible(x, ends), out).otherwise(x)
 
     return let(c, cut)
 
 
 def until_nearest(c: Column, ends: Sequence[str]) -> Column:
     """Cut at the nearest of all ends."""
-    return before(c, "|".join(f"(?:{p})" for p in ends)) if ends else c
+    whole = "|".join(f"(?:{p})" for p in ends)
+    return let(c, lambda x: F.when(possible(x, ends), before(x, whole)).otherwise(x)) if ends else c
 
 
 def after_last_listed(c: Column, starts: Sequence[str]) -> Column:
     """The shortest rest behind any of the patterns' first matches; null if none matches."""
-    rests = let(c, lambda x: F.array_compact(F.array(*[after(x, p) for p in starts])))
+    rests = let(c, lambda x: F.when(possible(x, starts), F.array_compact(F.array(*[after(x, p) for p in starts]))))
     return F.get(F.array_sort(rests, lambda a, b: F.length(a) - F.length(b)), F.lit(0))
 
 
 def after_first_listed(c: Column, starts: Sequence[str]) -> Column:
     """The rest behind the first pattern in the list that matches; null if none does."""
-    return let(c, lambda x: F.coalesce(*[after(x, p) for p in starts]))
+    return let(c, lambda x: F.when(possible(x, starts), F.coalesce(*[after(x, p) for p in starts])))
 
 
 def first_slice(c: Column, starts: Sequence[str], cut, clean, skip_empty: bool) -> Column:
@@ -132,7 +235,7 @@ def first_slice(c: Column, starts: Sequence[str], cut, clean, skip_empty: bool)
         found = [clean(cut(after(x, p))) for p in starts]
         if skip_empty:
             found = [let(f, lambda y: F.nullif(y, F.lit(""))) for f in found]
-        return F.coalesce(*found, F.lit(""))
+        return F.when(possible(x, starts), F.coalesce(*found, F.lit(""))).otherwise("")
 
     return let(c, slices)
 

@@ -192,11 +192,15 @@ def route_lines(c: Column, benefit_line: str = P.BENEFIT_LINE, cues: str = P.BEN
         phrase, cue = rf"^(.+?)\s+(?:({benefit_line}))$", rf"^(.{{20,}}?)\s+((?:{cues}).*)$"
         words = F.when(t.matches(x, right_words), side(nothing, x)).otherwise(side(x, nothing))
         by_cue = t.let(cut(x, cue), lambda p: F.when(F.size(p) > 1, side(part(p, 0), part(p, 1))).otherwise(words))
+        by_cue = F.when(t.possible(x, [cue]), by_cue).otherwise(words)
         by_phrase = t.let(cut(x, phrase), lambda p: F.when(F.size(p) > 1, side(long(part(p, 0)), long(part(p, 1)))).otherwise(by_cue))
+        by_phrase = F.when(t.possible(x, [phrase]), by_phrase).otherwise(by_cue)
         bar = F.split(x, r"\|", 2)
         return F.when(x.contains("|"), side(part(bar, 0), part(bar, 1))).otherwise(by_phrase)
 
-    return F.transform(lines, route)
+    # Where no line can be split or hold a word about effects, all go to the left.
+    some = c.contains("|") | t.possible(c, [benefit_line, cues, right_words])
+    return F.when(some, F.transform(lines, route)).otherwise(F.transform(lines, lambda x: side(x, nothing)))
 
 
 def _side(routed: Column, name: str) -> Column:

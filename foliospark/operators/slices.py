@@ -85,9 +85,9 @@ def strip_boilerplate(c: Column, patterns: Sequence[str] = P.BOILERPLATE) -> Col
     out = F.regexp_replace(out, r"(?U)\n\s*\n\s*\n+", "\n\n")
     out = F.regexp_replace(out, "  +", " ")
     out = F.regexp_replace(out, r"(?mUd)^\s+", "")
-    out = F.regexp_replace(out, r"(?mUd)^\s*[(\[\])\s]+\s*$", "")
-    out = F.regexp_replace(out, r"(?mUd)^\s*\(\s*$", "")
-    return t.strip(out)
+    # No line begins with white space any more, so only one that begins with a bracket can go.
+    lone = lambda x: F.regexp_replace(F.regexp_replace(x, r"(?mUd)^\s*[(\[\])\s]+\s*$", ""), r"(?mUd)^\s*\(\s*$", "")
+    return t.strip(t.let(out, lambda x: F.when(t.contains_any(x, "()[]"), lone(x)).otherwise(x)))
 
 
 def clean_column(c: Column, left: bool, common: Sequence[str] = P.COLUMN_COMMON, own: Sequence[str] | None = None) -> Column:

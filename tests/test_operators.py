@@ -1,6 +1,7 @@
 """Operators on hand-written rows: dialect edges, order, empty and odd inputs."""
 
 import random
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +49,25 @@ def test_case_and_dot_follow_unicode(spark):
     assert each(spark, lambda c: t.matches(c, "é.b"), ["É\u0085b", "é\nb", "ÉXB"]) == [True, False, True]
 
 
+def test_patterns_run_only_where_their_words_stand(spark):
+    assert t.needed((r"to\s+enable\s+the\s+(?:CIC\s+)?Regulator", r"it\s+would\s+be\s+useful")) == ("regulator", "useful")
+    assert t.needed((r"a?b*", "x")) is None and t.needed((r"\Qab\E",)) is None and t.needed(("[[ab]c]d",)) is None
+    # Tried on this text, a pattern that repeats a group ends with a stack overflow.
+    hard = [rf"(?:a|b)+\s+{w}" for w in ("regulator", "surplus", "company", "benefit")]
+    assert each(spark, lambda c: F.length(t.remove_each(c, hard)), ["ab" * 200_000]) == [400_000]
+
+
+def test_words_are_found_wherever_patterns_match(spark):
+    chars = spark.range(1, 0x10000).where("not id between 55296 and 57343").select(F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("x"))
+    for letter in "aiksz":
+        lost = chars.where(t.matches(F.col("x"), letter) & ~t.possible(F.col("x"), [letter]))
+        assert [r.x for r in lost.collect()] == []
+    texts = ["See \u017furplu\u017f of the \u212aing", "NOTE \u0130t", "not\u0131n", "sur note plus k\u0131ng", None, "", "plain"]
+    patterns = ["surplus", "king", r"note\s+it", r"notin", "x+y"] * 2
+    plain = lambda c: reduce(lambda a, p: F.regexp_replace(a, t.rx(p), ""), patterns, c)
+    assert each(spark, lambda c: t.remove_each(c, patterns), texts) == each(spark, plain, texts)
+
+
 def test_slices_by_match_with_wide_characters(spark):
     assert each(spark, lambda c: t.before(c, "b"), ["\U0001f600b x", "no"]) == ["\U0001f600", "no"]
     assert each(spark, lambda c: t.after(c, "b"), ["\U0001f600b x", "no"]) == [" x", None]
