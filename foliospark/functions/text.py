@@ -196,6 +196,11 @@ def after(c: Column, pattern: str, extra: str = "") -> Column:
     return F.get(F.split(c, rx(pattern, extra), 2), F.lit(1))
 
 
+def _rest(x: Column, pattern: str) -> Column:
+    """``after``, but a split only where there is a match: it compiles its pattern anew for each text."""
+    return F.when(matches(x, pattern), after(x, pattern))
+
+
 def until_first_listed(c: Column, ends: Sequence[str]) -> Column:
     """Cut at the first end in the list that occurs at all, even if a later one stands nearer."""
 
@@ -211,18 +216,18 @@ def until_first_listed(c: Column, ends: Sequence[str]) -> Column:
 def until_nearest(c: Column, ends: Sequence[str]) -> Column:
     """Cut at the nearest of all ends."""
     whole = "|".join(f"(?:{p})" for p in ends)
-    return let(c, lambda x: F.when(possible(x, ends), before(x, whole)).otherwise(x)) if ends else c
+    return let(c, lambda x: F.when(possible(x, ends) & matches(x, whole), before(x, whole)).otherwise(x)) if ends else c
 
 
 def after_last_listed(c: Column, starts: Sequence[str]) -> Column:
     """The shortest rest behind any of the patterns' first matches; null if none matches."""
-    rests = let(c, lambda x: F.when(possible(x, starts), F.array_compact(F.array(*[after(x, p) for p in starts]))))
+    rests = let(c, lambda x: F.when(possible(x, starts), F.array_compact(F.array(*[_rest(x, p) for p in starts]))))
     return F.get(F.array_sort(rests, lambda a, b: F.length(a) - F.length(b)), F.lit(0))
 
 
 def after_first_listed(c: Column, starts: Sequence[str]) -> Column:
     """The rest behind the first pattern in the list that matches; null if none does."""
-    return let(c, lambda x: F.when(possible(x, starts), F.coalesce(*[after(x, p) for p in starts])))
+    return let(c, lambda x: F.when(possible(x, starts), F.coalesce(*[_rest(x, p) for p in starts])))
 
 
 def first_slice(c: Column, starts: Sequence[str], cut, clean, skip_empty: bool) -> Column:
@@ -232,7 +237,7 @@ def first_slice(c: Column, starts: Sequence[str], cut, clean, skip_empty: bool)
     """
 
     def slices(x: Column) -> Column:
-        found = [clean(cut(after(x, p))) for p in starts]
+        found = [clean(cut(_rest(x, p))) for p in starts]
         if skip_empty:
             found = [let(f, lambda y: F.nullif(y, F.lit(""))) for f in found]
         return F.when(possible(x, starts), F.coalesce(*found, F.lit(""))).otherwise("")

@@ -78,8 +78,15 @@ def extract_recognised(pages: DataFrame, words: DataFrame | None = None, o: Opti
         parsed, method = F.col("plain"), F.lit("ocr")
     section = section.select("doc_id", "section_page", "text", parsed.alias("entries"), method.alias("method"), S.ocr_quality(F.col("text")).alias("quality"), S.likely_handwritten(F.col("text")).alias("handwritten"))
     section = section.withColumn("activities", F.transform("entries", lambda e: R.pair(e["activity"], e["benefit"])))
+    section = section.withColumn("refers", R.is_referential(F.col("activities")))
+    # Read twice below.  The two plans are alike up to this shuffle, so it runs once, and the parser with it: fields read
+    # by a lambda aren't pruned, no filter is pushed behind an aggregate, and the documents' own partitioning isn't kept.
+    fields = [c for c in section.columns if c != "doc_id"]
+    section = section.select("doc_id", F.array(F.struct(*fields)).alias("parsed")).repartition(F.xxhash64("doc_id"))
+    refers = section.groupBy("doc_id").agg(F.max(F.exists("parsed", lambda s: s["refers"])).alias("refers")).where("refers").select("doc_id")
+    field = lambda name: F.get(F.transform("parsed", lambda s: s[name]), F.lit(0)).alias(name)
+    section = section.select("doc_id", *[field(c) for c in fields if c != "refers"])
 
-    refers = section.where(R.is_referential(F.col("activities"))).select("doc_id")
     parse = lambda c: F.transform(R.parse_section(c), lambda e: R.pair(e["activity"], e["benefit"]))
     elsewhere = L.standalone_section(pages.join(refers, "doc_id", "left_semi"), span, parse)
     elsewhere = elsewhere.select("doc_id", R.dedupe_by_activity(F.col("activities")).alias("other"))

@@ -19,7 +19,7 @@ from foliospark.operators import sampling as SA
 from foliospark.operators import slices as X
 from foliospark.options import Options
 from foliospark.plans import evaluate as E
-from foliospark.plans import extract
+from foliospark.plans import extract, forms
 from foliospark.sources import pdf
 from foliospark.sources import results as IO
 from foliospark.streaming import incremental
@@ -305,6 +305,23 @@ def test_extraction_of_text_documents(spark):
     assert {x.extraction_metadata.source_file: x.extraction_status for x in both.collect()} == {"d": "success", "empty": "no_data"}
 
 
+def test_forms_are_dealt_over_tasks(spark):
+    docs = forms.documents(spark.range(600, numPartitions=1).select(F.col("id").alias("c_custkey"), F.lit("A").alias("c_mktsegment")))
+    sizes = [r["count"] for r in docs.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 600 and len(sizes) > 1 and max(sizes) < 300
+
+
+def test_sections_are_parsed_once(spark):
+    pages = spark.createDataFrame([("d", 1, "Form CIC 36"), ("d", 2, "SECTION B: Company Activities please see attached appendix")], "doc_id string, page_num int, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = extract.extract_recognised(pages)._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    of_parser = [line for line in plan if "hashpartitioning(xxhash64(" in line]
+    assert len(of_parser) == 2 and sum("ReusedExchange" in line for line in of_parser) == 1
+
+
 def test_layout_of_words(spark):
     rows = [("d", 1, 1000, f"w{i}", (i % 2) * 600, i // 2 * 30, 50, 10, 90, 0, 0) for i in range(8)] + [("d", 1, 1000, "noise", 0, 0, 9, 9, 5, 0, 0)]
     r = R.layout(spark.createDataFrame(rows, pdf.LAYOUT_WORDS)).first()
