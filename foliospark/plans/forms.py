@@ -76,10 +76,11 @@ def documents(customer: DataFrame) -> DataFrame:
     """doc_id, kind and w (the segment in lower case).
 
     A customer is a few bytes in its file and some pages here, so that one task would get very many
-    documents: they are dealt over tasks, by doc_id as all that follows.
+    documents: they are dealt over tasks, by doc_id as all that follows.  A few for each core, as the
+    plan is large and many small tasks took longer.
     """
     docs = customer.select(F.concat(F.lpad(F.col("c_custkey").cast("string"), 8, "0"), F.lit(".pdf")).alias("doc_id"), (F.col("c_custkey") % len(KINDS)).cast("int").alias("kind"), F.lower("c_mktsegment").alias("w"))
-    return docs.repartition(int(customer.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+    return docs.repartition(3 * customer.sparkSession.sparkContext.defaultParallelism, "doc_id")
 
 
 def _pages(docs: DataFrame) -> DataFrame:
